@@ -1,15 +1,16 @@
-"""Registered queries of the library."""
+"""All registered queries of the library."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from broadsheet.plans import issue_queries, layout_queries, reader_queries, text_queries
+from broadsheet.plans.registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
+MODULES = (text_queries, issue_queries, layout_queries, reader_queries)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {name: f for m in MODULES for name, f in m.register.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.register.sql.items()}
