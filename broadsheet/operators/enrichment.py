@@ -14,6 +14,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.functions import text as X
 
@@ -52,7 +53,7 @@ class RetryingClient:
 def call(rows: DataFrame, task: str, payload: list[str], client: ModelClient | None = None, in_flight: int = 3) -> DataFrame:
     """rows with reply (JSON text, or null) and reply_error of a call for each."""
     client = client or NullClient()
-    schema = rows.schema.add("reply", "string").add("reply_error", "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField("reply", T.StringType()), T.StructField("reply_error", T.StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -211,7 +211,7 @@ def already_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("""WITH i AS (SELECT o_orderkey AS id, o_orderpriority AS kind, o_orderdate AS day, o_totalprice AS total FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_orderpriority, o_orderdate, 1.5 FROM orders WHERE o_orderkey % 3 = 0)
 SELECT id, CASE WHEN bool_or(total = 1.5) THEN 1.5::DOUBLE ELSE max(total)::DOUBLE END AS total FROM i GROUP BY id""")
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("publication_type"), F.col("o_orderdate").alias("publication_date"), F.col("o_clerk").alias("original_filename") if "o_clerk" in table(spark, sf_dir, "orders").columns else F.col("o_orderkey").cast("string").alias("original_filename"), F.col("o_totalprice").cast("double").alias("total"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("publication_type"), F.col("o_orderdate").alias("publication_date"), F.col("o_orderkey").cast("string").alias("original_filename"), F.col("o_totalprice").cast("double").alias("total"))
     return issues.index_upsert(orders.filter("id % 2 = 0"), orders.filter("id % 3 = 0").withColumn("total", F.lit(1.5))).select("id", "total")
 
 

@@ -18,8 +18,7 @@ def write_issue_databases(issues: DataFrame, path: str, variable: str = "window.
 
     issues: publication_type, publication_date, id and payload (JSON).
     """
-    value = F.concat(F.lit(f"{variable} = {variable} || {{}}; {variable}["), F.to_json(F.struct(F.col("id")), {}).substr(7, 10_000), F.lit("] = "), F.col("payload"), F.lit(";"))
-    value = F.regexp_replace(value, "\\}\\] = ", "] = ")
+    value = F.concat(F.lit(f"{variable} = {variable} || {{}}; {variable}["), F.to_json(F.array("id")).substr(F.lit(2), F.length(F.to_json(F.array("id"))) - 2), F.lit("] = "), F.col("payload"), F.lit(";"))
     issues.select("publication_type", "publication_date", value.alias("value")).write.mode("overwrite").partitionBy("publication_type", "publication_date").text(path)
 
 

@@ -85,7 +85,7 @@ def read_checkpoints(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def wrapped_json(text: Column) -> Column:
     """The JSON of a script that assigns one object or list; null where there is none."""
-    found = F.regexp_extract(text, "(?s)^[^=]*=[ \\t-\\r]*([\\[{].*[\\]}])[ \\t-\\r]*;?[ \\t-\\r]*$", 1)
+    found = F.regexp_extract(text, "(?s)=[ \\t-\\r]*([\\[{].*[\\]}])[ \\t-\\r]*;?[ \\t-\\r]*$", 1)
     return F.nullif(found, F.lit(""))
 
 
