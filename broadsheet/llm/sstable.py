@@ -46,6 +46,16 @@ def id_of(key: bytes) -> int | None:
     return struct.unpack(">Q", key)[0] - (1 << 63) if key else None
 
 
+def pack_ids(ids: bytes) -> bytes:
+    """A value from ids as little-endian unsigned 32-bit integers."""
+    wide = np.frombuffer(ids, "<u4")
+    return b"\4" + ids if len(wide) and wide.max() >= 1 << 16 else b"\2" + wide.astype("<u2").tobytes()
+
+
+def unpack_ids(value: bytes) -> bytes:
+    return value[1:] if value[0] == 4 else np.frombuffer(value, "<u2", offset=1).astype("<u4").tobytes()
+
+
 def _varint(n: int) -> bytes:
     out = bytearray()
     while n > 127:
@@ -113,7 +123,7 @@ def write_table(entries: Iterable[tuple[bytes, bytes]], block_bytes: int = 64 <<
         last = key
         held += 1
         count += 1
-        ids += len(value) // 4
+        ids += (len(value) - 1) // value[0]
         keys.append(key)
     if block:
         yield close()
@@ -204,7 +214,7 @@ def write_token_tables(docs: DataFrame, path: str, tokenizer_path: str, end_id:
         def entries():
             for batch, texts in text_slices(batches):
                 for key, ids in zip(batch.column(0).to_pylist(), encode.ids(texts), strict=True):
-                    yield key_of(key), ids + end
+                    yield key_of(key), pack_ids(ids + end)
 
         for section in write_table(entries()):
             yield pa.record_batch([pa.array([section], pa.binary())], names=["section"])
@@ -223,9 +233,10 @@ def read_token_tables(spark: SparkSession, path: str) -> DataFrame:
                 table = Table(batch.column(1)[i].as_py())
                 keys, counts, crcs = [], [], []
                 for key, value in table:
+                    ids = unpack_ids(value)
                     keys.append(id_of(key))
-                    counts.append(len(value) // 4)
-                    crcs.append(zlib.crc32(value))
+                    counts.append(len(ids) // 4)
+                    crcs.append(zlib.crc32(ids))
                 n = len(keys)
                 before = np.cumsum([0, *counts])[:-1] if n else np.zeros(0)
                 yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array(keys, pa.int64()), pa.array(before, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["file", "place", "key", "ids_before", "n_tokens", "ids_crc32"])
