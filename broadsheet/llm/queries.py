@@ -61,7 +61,7 @@ OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS d FROM pages),
 q AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first_id FROM p)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-  list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(d, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS payload_digest,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(d, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to,
   '2000-01-01T00:00:00Z' AS warc_date
@@ -87,14 +87,14 @@ RECURSIVE_ENTROPY AS (
     SELECT i + 1, CASE WHEN e >= goal THEN mid ELSE lo END, CASE WHEN e >= goal THEN hi ELSE mid END
     FROM (SELECT i, lo, hi, mid, goal, ln(z) - w / z AS e FROM (
       SELECT i, lo, hi, (lo + hi) / 2 AS mid, goal,
-        list_sum(list_transform(ls, x -> exp((lo + hi) / 2 * (x - top)))) AS z,
-        list_sum(list_transform(ls, x -> exp((lo + hi) / 2 * (x - top)) * ((lo + hi) / 2) * (x - top))) AS w
+        list_sum(list_transform(ls, lambda x: exp((lo + hi) / 2 * (x - top)))) AS z,
+        list_sum(list_transform(ls, lambda x: exp((lo + hi) / 2 * (x - top)) * ((lo + hi) / 2) * (x - top))) AS w
       FROM s, a WHERE i < 50)))
   SELECT lo FROM s WHERE i = 50),
 r AS (SELECT CASE WHEN top - low <= ln(4.0) THEN 0.0 ELSE 1 - ln(4.0 * (1 + 1e-12)) / (top - low) END AS least,
-    ln(list_sum(list_transform(ls, x -> exp(x - top)))) - list_sum(list_transform(ls, x -> exp(x - top) * (x - top))) / list_sum(list_transform(ls, x -> exp(x - top))) >= goal AS flat FROM a),
+    ln(list_sum(list_transform(ls, lambda x: exp(x - top)))) - list_sum(list_transform(ls, lambda x: exp(x - top) * (x - top))) / list_sum(list_transform(ls, lambda x: exp(x - top))) >= goal AS flat FROM a),
 e AS (SELECT greatest(CASE WHEN flat THEN 1.0 ELSE lo END, least) AS exponent FROM r, RECURSIVE_ENTROPY),
-n AS (SELECT exponent, list_sum(list_transform(ls, x -> exp(exponent * (x - top)))) AS norm, top FROM e, a),
+n AS (SELECT exponent, list_sum(list_transform(ls, lambda x: exp(exponent * (x - top)))) AS norm, top FROM e, a),
 w AS (SELECT source, size, greatest(1, CAST(round(1000000 * exp(exponent * (l - top)) / norm) AS BIGINT)) AS parts FROM t, n),
 b AS (SELECT *, CAST(max(ceil(size * 1000000 / parts)) OVER () AS BIGINT) AS budget FROM w),
 q AS (SELECT *, greatest(size, budget * parts // 1000000) AS quota FROM b),
