@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import stored
+from broadsheet.llm.common import stored, wrapped
 from broadsheet.llm.textstats import text_stats
 
 SCALE = 512
@@ -31,12 +31,12 @@ STEPS = 4
 LEAST_ROWS = 200
 #: With fewer rows nothing is rejected for its distance.
 LEAST_TO_JUDGE = 20
-#: Chi-squared, 6 degrees of freedom: the quantile that one in a hundred million exceeds, and those
+#: Chi-squared, 6 degrees of freedom: the quantile that one in ten thousand exceeds, and those
 #: that make the covariance of the nearest SHARE consistent: the SHARE quantile, and what share of
 #: 8 degrees of freedom lies below it.
-CUTOFF, INNER, INNER_SHARE = 48.36, 7.841, 0.5508
+CUTOFF, INNER, INNER_SHARE = 27.86, 7.841, 0.5508
 #: Standard deviation that each coordinate is taken to have at least.
-FLOORS = (1.0, 0.08, 0.06, 0.05, 0.2, 0.2)
+FLOORS = (1.0, 0.08, 0.05, 0.05, 0.2, 0.2)
 DIMS = len(FLOORS)
 X = [f"x{i}" for i in range(DIMS)]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_lines"]
@@ -187,6 +187,6 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     light = docs.select(lang.alias("lang"), source.alias("source"), s.alias("s")).select("lang", "source", "s.*")
     light = light.filter(~base_failed()).select("lang", "source", *vector())
     found = estimates(stored(light, "quality-stats"))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), lang.alias("lang"), source.alias("source"), s.alias("s"))
+    rows = wrapped(docs, lang=lang, source=source, s=s)
     rows = rows.filter(~base_failed("s.")).select("doc", "lang", "source", F.lit(False).alias("base_failed"), *vector("s."))
     return _verdicts(rows, found).filter("kept").select("doc.*")
