@@ -8,12 +8,22 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute needs it
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch handed on by a Python stage.
 OUT_ROWS = 8192
 
 
+def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
+    """A row's own columns as one struct, doc, beside others: so names of theirs clash with none of docs'.
+
+    select("doc.*") gives the row back.
+    """
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(own.alias("doc"), *[c.alias(k) for k, c in more.items()])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 

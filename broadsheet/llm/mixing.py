@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import cut
+from broadsheet.llm.common import cut, wrapped
 
 STEPS = 50
 #: Weights are whole millionths, so that all that follows is whole-number arithmetic.
@@ -142,7 +142,7 @@ def mix(docs: DataFrame, tokens: Column, id_col: str = "doc_id", source_col: str
     placed = placed.join(weights, placed["source"].eqNullSafe(weights["_of"])).filter(F.col("before") < F.col("_rest"))
     cutoffs = placed.groupBy(F.col("source").alias("_at")).agg(F.max("key").alias("_cutoff"))
     plan = cut(weights.join(cutoffs, weights["_of"].eqNullSafe(cutoffs["_at"]), "left").select("_of", "_whole", F.coalesce("_cutoff", F.lit("")).alias("_cutoff")))
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(docs[id_col].cast("string"), F.lit("null"))))
-    joined = docs.join(plan, docs[source_col].eqNullSafe(plan["_of"]))
-    uses = F.col("_whole") + F.when(key <= F.col("_cutoff"), 1).otherwise(0)
-    return joined.withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), uses))).select(*[docs[c] for c in docs.columns])
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    joined = wrapped(docs, key=key, source=F.col(source_col)).join(plan, F.col("source").eqNullSafe(F.col("_of")))
+    uses = F.col("_whole") + F.when(F.col("key") <= F.col("_cutoff"), 1).otherwise(0)
+    return joined.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), uses))).select("doc.*")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm.common import text_slices
+from broadsheet.llm.common import text_slices, wrapped
 from broadsheet.llm.tokens import encoder
 
 #: Pieces to choose from; new ones come in whenever a sequence is closed.
@@ -92,10 +92,10 @@ def pack(pieces: DataFrame, limits: Mapping[str, int], length: str, partitions:
     """
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     n = partitions or int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pieces.select(*names).withColumn("_h", F.xxhash64(*names))
+    own = [F.col(f"`{c}`") for c in names]
     # Equal rows are dealt out too: where they came from is part of the deal, not of the order.
-    rows = rows.withColumn("_salt", F.monotonically_increasing_id() % 64)
-    dealt = rows.repartition(n, "_h", "_salt").sortWithinPartitions("_h", *names)
+    rows = wrapped(pieces.select(*own), h=F.xxhash64(*own), salt=F.monotonically_increasing_id() % 64)
+    dealt = rows.repartition(n, "h", "salt").sortWithinPartitions("h", "doc").select("doc.*")
     schema = T.StructType([*(pieces.schema[c] for c in names), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     columns, caps, offset_at = list(limits), np.array([limits[c] for c in limits], float), names.index(length)
 
@@ -152,4 +152,4 @@ def pack(pieces: DataFrame, limits: Mapping[str, int], length: str, partitions:
             part = part.append_column("sequence_id", pa.array(seq, pa.int64())).append_column("offset", pa.array(off, pa.int64()))
             yield from part.combine_chunks().to_batches()
 
-    return dealt.select(*names).mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import wrapped
+
 #: Code of one branch a shard up to here; beyond it the shards are scored by an array function.
 UNROLLED = 64
 
@@ -55,13 +57,15 @@ def shard_slots(df: DataFrame, shard: str, order: Sequence[str], slot: str = "sl
     begins where the runs before it end. Rows that equal each other in every column of ``order``
     take neighbouring places in either order. The counts read only the columns of ``order``.
     """
-    n = df.select(shard).groupBy(shard).count().agg(F.max("count")).first()[0] or 0
+    keys = {f"o{i}": F.col(f"`{c}`") for i, c in enumerate(order)}
+    n = df.groupBy(F.col(shard).alias("s")).count().agg(F.max("count")).first()[0] or 0
     bits = max(0, (n // rows_per_run).bit_length())
-    hashed = df.withColumn("_h", F.xxhash64(*order)).withColumn("_run", F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long"))
-    sizes = hashed.groupBy(shard, "_run").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col(shard).alias("_shard"), F.col("_run").alias("_run_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(shard, "_run").orderBy("_h", *order)
-    ranked = hashed.withColumn("_place", F.row_number().over(within) - 1)
-    joined = ranked.join(starts, (ranked[shard] == starts["_shard"]) & (ranked["_run"] == starts["_run_of"]))
-    return joined.select(*[joined[c] for c in df.columns if c != slot], (F.col("_start") + F.col("_place")).alias(slot))
+    rows = wrapped(df, s=F.col(shard), h=F.xxhash64(*keys.values()), **keys).withColumn("run", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
+    sizes = rows.groupBy("s", "run").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("s").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("s").alias("of"), F.col("run").alias("of_run"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("s", "run").orderBy("h", *keys)
+    ranked = rows.withColumn("place", F.row_number().over(within) - 1)
+    joined = ranked.join(starts, (ranked["s"] == starts["of"]) & (ranked["run"] == starts["of_run"]))
+    kept = [F.col("doc").getField(c).alias(c) for c in df.columns if c != slot]
+    return joined.select(*kept, (F.col("start") + F.col("place")).alias(slot))

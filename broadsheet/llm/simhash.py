@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import cut
+from broadsheet.llm.common import cut, wrapped
 
 #: Distinct fingerprints of one bucket that one task compares; larger buckets are split in tiles.
 TILE = 1 << 15
@@ -352,13 +352,13 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marked = _marked(docs, id_col, text_col, words_in_shingle, seed, radius)
     own = F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("fp")))
     keepers = cut(marked.groupBy("root", F.col("component_id").alias("_id")).agg(own.alias("_fp")).select("_id", "_fp"))
-    kept = docs.join(keepers, docs[id_col].eqNullSafe(keepers["_id"]), "left_semi")
+    rows = wrapped(docs, id=F.col(id_col), text=F.col(text_col))
+    kept = rows.join(keepers, rows["id"].eqNullSafe(keepers["_id"]), "left_semi")
     # Ids that repeat are settled apart, so that no text is sorted for the others.
-    twice = cut(docs.groupBy(F.col(id_col).alias("_twice")).count().filter("count > 1").select("_twice"))
+    twice = cut(rows.groupBy(F.col("id").alias("_twice")).count().filter("count > 1").select("_twice"))
     if twice.isEmpty():
-        return kept
-    once = kept.join(twice, kept[id_col].eqNullSafe(twice["_twice"]), "left_anti")
-    again = kept.join(twice, kept[id_col].eqNullSafe(twice["_twice"]), "left_semi")
-    again = again.withColumn("_own", fingerprint(F.col(text_col), words_in_shingle, seed))
-    chosen = again.join(keepers, again[id_col].eqNullSafe(keepers["_id"]) & (F.col("_own") == F.col("_fp")), "left_semi")
-    return once.unionByName(chosen.dropDuplicates([id_col, "_own"]).select(*docs.columns))
+        return kept.select("doc.*")
+    once = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_anti")
+    again = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_semi").withColumn("fp", fingerprint(F.col("text"), words_in_shingle, seed))
+    chosen = again.join(keepers, again["id"].eqNullSafe(keepers["_id"]) & (again["fp"] == keepers["_fp"]), "left_semi")
+    return once.select("doc").unionByName(chosen.dropDuplicates(["id", "fp"]).select("doc")).select("doc.*")
