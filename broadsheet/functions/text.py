@@ -86,7 +86,7 @@ def link_tokens(text: Column) -> Column:
 
     def singular(t: Column) -> Column:
         long = F.length(t) > 4
-        return F.when(long & t.endswith("ies"), F.concat(F.expr("'' "), F.regexp_replace(t, "ies$", "y"))).when(long & t.endswith("s") & ~t.endswith("ss"), F.regexp_replace(t, "s$", "")).otherwise(t)
+        return F.when(long & t.endswith("ies"), F.regexp_replace(t, "ies$", "y")).when(long & t.endswith("s") & ~t.endswith("ss"), F.regexp_replace(t, "s$", "")).otherwise(t)
 
     return F.array_distinct(F.transform(found, singular))
 
@@ -166,7 +166,7 @@ def anchor_slice(text: Column, start: Column, end: Column) -> Column:
     """Text from the first place of start's first 20 characters to the end of end's last 20; null without both."""
     flat, head, tail = squeeze(text), F.left(squeeze(start), F.lit(20)), F.right(squeeze(end), F.lit(20))
     begin = F.instr(flat, head)
-    after = F.locate(tail, flat, begin) if isinstance(tail, str) else F.call_function("locate", tail, flat, begin)
+    after = F.call_function("locate", tail, flat, begin)
     found = (begin > 0) & (after > 0) & (F.length(head) > 0) & (F.length(tail) > 0)
     return F.when(found, F.substring(flat, begin, after - begin + F.length(tail)))
 
@@ -213,17 +213,38 @@ def compact_error(text: Column, most: int = 220) -> Column:
     return F.when(F.length(flat) > most, F.concat(F.left(flat, F.lit(most - 3)), F.lit("..."))).otherwise(flat)
 
 
-def truncate_at_sentence(text: Column, least: int = 99, most: int = 180) -> Column:
-    """Text up to its last full sentence within most characters if that is long enough, else cut with an ellipsis."""
-    cut = F.left(text, F.lit(most))
-    end = F.length(cut) - F.instr(F.regexp_replace(F.reverse(cut), "[.!?\u3002\uff01\uff1f]", "\u0001"), "\u0001") + 1
-    has = F.instr(F.regexp_replace(cut, "[.!?\u3002\uff01\uff1f]", "\u0001"), "\u0001") > 0
-    return F.when(F.length(text) <= most, text).when(has & (end >= least), F.left(cut, end)).otherwise(F.concat(F.rtrim(cut), F.lit("\u2026")))
+def truncate_at_sentence(text: Column, least: int = 100, most: int = 200) -> Column:
+    """Text up to its last full sentence within most characters if that has at least so many, else cut with an ellipsis."""
+    cut = F.regexp_replace(F.left(text, F.lit(most)), "[\u3002\uff01\uff1f]", "\u3002")
+    at = F.instr(F.reverse(cut), "\u3002")
+    end = F.length(cut) - at + 1
+    short = F.regexp_replace(F.left(text, F.lit(most - 1)), "[\uff0c,\uff1b;\uff1a: ]+$", "")
+    return F.when(F.length(text) <= most, text).when((at > 0) & (end >= least), F.left(text, end)).otherwise(F.concat(short, F.lit("\u2026")))
+
+
+def clean_inline(text: Column) -> Column:
+    """One line without Markdown marks at its ends."""
+    return F.regexp_replace(squeeze(F.coalesce(text, F.lit(""))), "^[`*_#]+|[`*_#]+$", "")
+
+
+def clean_description(text: Column) -> Column:
+    return F.translate(squeeze(F.coalesce(text, F.lit(""))), "\"'", "\u300c\u2019")
+
+
+def english_in_cjk(text: Column, most: int) -> Column:
+    """Names in Latin letters within Chinese text: the first ``most``, case aside once each."""
+    word = "[A-Za-z][A-Za-z0-9]*(?:[.\x27\u2019_-][A-Za-z0-9]+)*"
+    more = "(?:(?:[ \\t]+|,[ \\t-\\r]*)[A-Za-z&][A-Za-z0-9]*(?:[.\x27\u2019_-][A-Za-z0-9]+)*){0,7}"
+    found = F.regexp_extract_all(text, F.lit(f"(?<![A-Za-z0-9_])({word}{more})(?![A-Za-z0-9_])"), F.lit(1))
+    named = F.filter(F.transform(found, lambda x: F.regexp_replace(clean_inline(x), "^[ ,.;:!?()\\[\\]{}]+|[ ,.;:!?()\\[\\]{}]+$", "")), lambda x: (F.length(x) >= 2) & ~x.rlike("^[a-z][a-z-]*$") & x.rlike("[A-Z0-9.]"))
+    return F.slice(F.filter(named, lambda x, i: F.array_position(F.transform(named, F.lower), F.lower(x)) == i + 1), 1, most)
 
 
 def continued_base(title: Column) -> Column:
-    """A title without its mark of continuation."""
-    return strip(F.regexp_replace(title, "(?i)[ \\t-\\r]*[-\u2013\u2014:(\\[]*[ \\t-\\r]*\\bcontinued\\b(?:[ \\t-\\r]+from[^)\\]]*)?[)\\]]*[ \\t-\\r]*$", ""))
+    """A title without its mark of continuation, at its end or before it."""
+    out = F.regexp_replace(title, "(?i)[ \\t-\\r]*\\(?[ \\t-\\r]*continued[ \\t-\\r]*\\)?[ \\t-\\r]*$", "")
+    out = F.regexp_replace(out, "(?i)^continued[ \\t-\\r]*[:-][ \\t-\\r]*", "")
+    return F.when(out == title, squeeze(title)).otherwise(squeeze(F.regexp_replace(out, "[ \\t-\\r]*[-\u2013\u2014:][ \\t-\\r]*$", "")))
 
 
 def is_continued(title: Column) -> Column:

@@ -167,14 +167,14 @@ def page_groups(articles: DataFrame) -> DataFrame:
     return articles.groupBy("issue", "page").agg(found.alias("ordinals"), F.min(F.struct("ordinal", "title"))["title"].alias("first_title"))
 
 
-def compile_budget(body: Column, least: int = 5000, most: int = 16000) -> Column:
+def compile_budget(body: Column, least: int = 5000, most: int = 7000) -> Column:
     """Tokens to allow an enrichment call: 3500 and 3.5 a word, within limits."""
     return F.greatest(F.lit(least), F.least(F.lit(most), F.floor(3500 + 3.5 * X.word_count(body)))).cast("long")
 
 
 def summary_band(words: Column) -> Column:
     """Lower and upper bound of a summary's length for a text of so many words."""
-    return F.when(words < 800, F.struct(F.lit(420).alias("low"), F.lit(650).alias("high"))).when(words < 1800, F.struct(F.lit(520).alias("low"), F.lit(800).alias("high"))).otherwise(F.struct(F.lit(620).alias("low"), F.lit(1000).alias("high")))
+    return F.when(words <= 900, F.struct(F.lit(420).alias("low"), F.lit(650).alias("high"))).when(words <= 1800, F.struct(F.lit(520).alias("low"), F.lit(800).alias("high"))).otherwise(F.struct(F.lit(620).alias("low"), F.lit(1000).alias("high")))
 
 
 def needs_compile(row: DataFrame) -> Column:
@@ -187,3 +187,27 @@ def page_fallback(page_text: Column, page: Column) -> Column:
     """The article that a page without a split becomes: a guessed title and the whole text."""
     title = F.coalesce(X.guess_title(page_text), F.format_string("Page %d OCR Text", page))
     return F.struct(title.alias("title"), page_text.alias("body"))
+
+
+def profile(articles: DataFrame, most: int = 180) -> DataFrame:
+    """What a reviewer of a page's articles is shown: number, title, category, words, beginning and end."""
+    flat = F.regexp_replace(F.coalesce("body", F.lit("")), "[ \\t-\\r]+", " ")
+    order = Window.partitionBy("issue", "page").orderBy("ordinal")
+    return articles.select("issue", "page", F.row_number().over(order).cast("long").alias("number"), "title", "category", X.word_count(F.coalesce("body", F.lit(""))).alias("word_count"), F.left(flat, F.lit(most)).alias("start"), F.right(flat, F.lit(most)).alias("end"))
+
+
+def paragraphs_of(paragraphs: Column, body: Column) -> Column:
+    """An article's paragraphs: the structured ones if any has text, else its body at blank lines."""
+    kept = F.filter(paragraphs, lambda p: X.strip(F.coalesce(p["en_text"], F.lit(""))) != "")
+    plain = F.transform(X.paragraphs(F.coalesce(body, F.lit(""))), lambda t: F.struct(t.alias("en_text"), F.lit("").alias("zh_text"), F.lit("body").alias("role")))
+    return F.when(F.size(kept) > 0, kept).otherwise(plain)
+
+
+def fallback_body(start: Column, end: Column) -> Column:
+    """A body where a slice by anchors was not to be had."""
+    return X.strip(F.concat(X.strip(F.coalesce(start, F.lit(""))), F.lit(" ... "), X.strip(F.coalesce(end, F.lit("")))))
+
+
+def numbered(paragraphs: Column) -> Column:
+    """Paragraphs as a numbered list for a prompt."""
+    return F.array_join(F.transform(paragraphs, lambda p, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), p)), "\n\n")

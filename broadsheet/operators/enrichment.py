@@ -84,7 +84,7 @@ def accept_translation(source: Column, translated: Column) -> Column:
 def accept_summary(text: Column) -> Column:
     """Whether a summary is in the style asked for: three to five paragraphs of prose, no sentence over 90 characters of CJK."""
     parts = X.paragraphs(text)
-    listed = F.exists(parts, lambda p: p.rlike("(?m)^(?:[-*#]|[0-9]+[.)]) "))
+    listed = F.exists(parts, lambda p: p.rlike("^(?:#{1,6} |[-*+] |[0-9]+[.\u3001)])"))
     longest = F.array_max(F.transform(X.cjk_sentences(text), X.cjk_count))
     return F.size(parts).between(3, 5) & ~listed & (F.coalesce(longest, F.lit(0)) <= 90)
 

@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import slug
+from broadsheet.functions.text import clean_inline, slug
 
-# Words too general to be terms.
-GENERIC = ("company", "government", "market", "markets", "investor", "investors", "economy", "president", "minister", "bank", "stock", "shares", "report")
+# Words too general to be terms, and the kinds of terms.
+GENERIC = (
+    "business", "ceo", "company", "democracy", "economy", "government",
+    "globalization", "inflation", "market", "president", "sovereignty", "us", "uk",
+)
+KINDS = ("person", "organization", "company", "policy_law", "event", "place_context", "work", "proper_concept", "acronym")
 
 
 def entry_id(kind: Column, term: Column) -> Column:
     return F.concat_ws("_", kind, slug(term, "term", 80))
 
 
-def is_proper_term(term: Column) -> Column:
-    """Names and acronyms: not general, not all small letters; a capital, digit or dot is needed."""
-    t = F.trim(F.coalesce(term, F.lit("")))
-    return F.when(F.length(t) < 2, False).when(F.lower(t).isin(*GENERIC), False).when(t.rlike("^[A-Z][A-Z0-9&.-]{1,9}$"), True).when(t.rlike("^[a-z][a-z -]*$"), False).otherwise(t.rlike("[A-Z0-9.]"))
+def is_proper_term(term: Column, kind: Column | None = None) -> Column:
+    """Names and acronyms: two characters, a letter, not general, not one word of small letters; a capital, digit or dot is needed."""
+    t = clean_inline(term)
+    rejected = (F.length(t) < 2) | F.lower(t).isin(*GENERIC) | ~t.rlike("[A-Za-z]")
+    acronym = (kind == "acronym") if kind is not None else F.lit(False)
+    return F.when(rejected, False).when(acronym, t.rlike("^[A-Z][A-Z0-9.-]{1,11}$")).when(t.rlike("^[a-z][a-z-]*$"), False).otherwise(t.rlike("[A-Z0-9.]"))
 
 
 def referenced(entries: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -44,3 +50,25 @@ def locate(paragraphs: DataFrame, terms: DataFrame) -> DataFrame:
     pattern = "concat('(?i)(?<![A-Za-z0-9])(', _q, ')(?![A-Za-z0-9])')"
     both = paragraphs.join(terms.withColumn("_q", quoted), "article").withColumn("hits", F.expr(f"regexp_extract_all(text, {pattern}, 1)"))
     return both.select("article", "paragraph", "glossary_id", F.posexplode("hits").alias("n", "surface")).withColumn("occurrence", (F.col("n") + 1).cast("long")).drop("n")
+
+
+def prompt_text(paragraphs: DataFrame, most: int = 24_000) -> DataFrame:
+    """(article, text): numbered paragraphs in order, up to a budget of characters; the last is cut at a space.
+
+    paragraphs: article, paragraph, text. By running sums.
+    """
+    line = F.concat(F.lit("["), F.col("paragraph"), F.lit("] "), F.col("text"))
+    by = Window.partitionBy("article").orderBy("paragraph")
+    sized = paragraphs.withColumn("line", line).withColumn("before", F.coalesce(F.sum(F.length("line") + 1).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).filter(F.col("before") < most)
+    room = (F.lit(most) - F.col("before")).cast("int")
+    cut = F.regexp_replace(F.left("line", room), " [^ ]*$", "")
+    parts = sized.withColumn("line", F.when(F.length("line") <= room, F.col("line")).otherwise(cut))
+    return parts.groupBy("article").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "line"))), lambda x: x["line"]), "\n").alias("text"))
+
+
+def normalise_reply(reply: Column) -> Column:
+    """Entries of a model's reply, by whatever name it calls the list and the term."""
+    kind = "array<struct<term string, canonical_term string, name string, term_zh string, type string, description_zh string>>"
+    lists = [F.from_json(F.get_json_object(reply, f"$.{k}"), kind) for k in ("terms", "glossary", "items")]
+    found = F.coalesce(*lists, F.array().cast(kind))
+    return F.transform(found, lambda e: F.struct(F.coalesce(e["term"], e["canonical_term"], e["name"]).alias("term"), e["term_zh"].alias("term_zh"), F.when(e["type"].isin(*KINDS), e["type"]).otherwise("proper_concept").alias("type"), e["description_zh"].alias("description_zh")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
 from broadsheet.functions import vocabulary as V
+from broadsheet.functions.geometry import directory_limit, overlap_share
 
 
 def blocks_of_spans(spans: DataFrame) -> DataFrame:
@@ -90,12 +91,12 @@ def numeric_label(line: Column, masthead: str) -> Column:
 
 
 def is_reference_line(line: Column, before: Column | None = None) -> Column:
-    """Turn-to and continued lines, also when the label stands on the next line."""
-    whole = line.rlike("(?i)^(?:please +)?(?:continued (?:on|from)|turn to|see)(?: page)? +[A-Z]?[0-9]{1,3}$")
+    """Lines that send the reader elsewhere, also when the label alone stands on the next line."""
+    whole = line.rlike("(?i)\\b(?:continued +(?:on|from)|turn +to|see) +(?:page +)?[A-Z]?[0-9]+\\b")
     if before is None:
         return whole
-    opens = before.rlike("(?i)^(?:please +)?(?:continued (?:on|from)|turn to|see)(?: page)?$")
-    return whole | (F.coalesce(opens, F.lit(False)) & line.rlike("(?i)^(?:page +)?[A-Z]?[0-9]{1,3}$"))
+    opens = X.squeeze(before).rlike("(?i)(?:continued +(?:on|from)|turn +to|see)(?: +page)?$")
+    return whole | (F.coalesce(opens, F.lit(False)) & line.rlike("(?i)^[A-Z][0-9]{1,3}$"))
 
 
 def column_order(blocks: DataFrame, distance: float = V.COLUMN_DISTANCE) -> DataFrame:
@@ -124,19 +125,21 @@ def quarter_column(x0: Column, width: Column) -> Column:
     return F.least(F.floor(F.greatest(x0, F.lit(0.0)) / F.greatest(width / 4, F.lit(1.0))), F.lit(3)).cast("long")
 
 
-def assign_headings(blocks: DataFrame, headings: DataFrame, reach: float = 900.0, centre: float = 0.18, overlap: float = 60.0) -> DataFrame:
-    """(page, id, heading): each block's heading above it, by least gap, distance of centres and want of overlap.
+def assign_headings(blocks: DataFrame, headings: DataFrame, reach: float = 900.0, centre: float = 0.18, overlap: float = 60.0, least_overlap: float = 0.12, wide: float = 0.25) -> DataFrame:
+    """(page, id, heading, score): each block's heading above it, by least gap, distance of centres and want of overlap.
 
-    A join within a page, whose block count a page bounds.
+    A heading counts if its span overlaps the block's by least_overlap of the shorter one, or if it
+    is wide and holds the block's centre. A join within a page, whose block count a page bounds.
     """
-    h = headings.select("page", F.col("id").alias("heading"), *[F.col(c).alias(f"h_{c}") for c in ("x0", "y0", "x1", "y1")])
+    h = headings.select("page", F.col("id").alias("heading"), F.col("ordinal").alias("h_ordinal"), *[F.col(c).alias(f"h_{c}") for c in ("x0", "y0", "x1", "y1")])
     both = blocks.join(h, "page")
     gap = F.col("y0") - F.col("h_y1")
-    width = F.greatest(F.least(F.col("x1") - F.col("x0"), F.col("h_x1") - F.col("h_x0")), F.lit(1.0))
-    share = F.greatest(F.lit(0.0), F.least("x1", "h_x1") - F.greatest("x0", "h_x0")) / width
-    apart = F.abs((F.col("x0") + F.col("x1") - F.col("h_x0") - F.col("h_x1")) / 2)
-    scored = both.filter((gap >= 0) & (gap <= reach) & (share > 0)).withColumn("score", F.round(gap + centre * apart - overlap * share, 4))
-    return scored.groupBy("page", "id").agg(F.min(F.struct("score", "heading")).alias("m")).select("page", "id", "m.heading", "m.score")
+    share = overlap_share(F.col("x0"), F.col("x1"), F.col("h_x0"), F.col("h_x1"))
+    middle = (F.col("x0") + F.col("x1")) / 2
+    holds = (F.col("h_x1") - F.col("h_x0") >= wide * F.col("width")) & middle.between(F.col("h_x0") - 8, F.col("h_x1") + 8)
+    apart = F.abs(middle - (F.col("h_x0") + F.col("h_x1")) / 2)
+    scored = both.filter((gap >= -2) & (gap <= reach) & ((share >= least_overlap) | holds)).withColumn("score", F.round(gap + centre * apart - overlap * share, 4))
+    return scored.groupBy("page", "id").agg(F.min(F.struct("score", "h_ordinal", "heading")).alias("m")).select("page", "id", "m.heading", "m.score")
 
 
 def nearest_image(headings: DataFrame, images: DataFrame, most: float = 0.45) -> DataFrame:
@@ -148,11 +151,15 @@ def nearest_image(headings: DataFrame, images: DataFrame, most: float = 0.45) ->
     return near.groupBy("page", F.col("id").alias("heading")).agg(F.min(F.struct("distance", "image")).alias("m")).select("page", "heading", "m.image", "m.distance")
 
 
-def is_heading(block: DataFrame, threshold: Column) -> Column:
+# Headings that are never an article's title.
+BLOCKED_HEADINGS = ("what s news", "business finance", "the wall street journal", "corrections amplifications")
+
+
+def is_heading(text: Column, font: Column, y0: Column, height: Column, threshold: Column) -> Column:
     """Blocks fit for a local title: large, in the body of the page, short, without dotted leaders."""
-    flat = X.flatten_lines(F.col("text"))
-    n = F.size(F.filter(F.split(flat, " "), lambda w: w != ""))
-    return (F.col("max_font_size") >= threshold) & F.col("y0").between(110, F.col("height") - 45) & n.between(3, 24) & (F.length(flat) <= 190) & ~F.contains(flat, F.lit("...."))
+    flat = X.flatten_lines(text)
+    short = X.word_count(flat).between(3, 24) & (F.length(flat) <= 190)
+    return (font >= threshold) & (y0 >= 110) & (y0 <= height - 45) & short & ~X.heading_key(flat).isin(*BLOCKED_HEADINGS) & ~flat.rlike("\\.{4,} *[A-Z]?[0-9]+$")
 
 
 def is_body_block(words: Column, drop_cap: Column, median: Column, y0: Column, height: Column) -> Column:
@@ -165,7 +172,7 @@ def in_directory(own_ids: Column, region_ids: Column, share: float = 0.8) -> Col
     return (F.size(own_ids) > 0) & (F.size(F.array_intersect(own_ids, region_ids)) / F.greatest(F.size(own_ids), F.lit(1)) >= share)
 
 
-BULLET = "^[•●▪◦]"
+BULLET = "^[\ue013•●▪◦]"
 
 
 def parse_directory(lines: DataFrame) -> DataFrame:
@@ -201,6 +208,64 @@ def parse_directory(lines: DataFrame) -> DataFrame:
     return out.filter("label <> '' and text <> ''")
 
 
+def parse_briefing(lines: DataFrame) -> DataFrame:
+    """Briefing of a front page: rows (page, line_no, line) to (page, item_no, text, label).
+
+    Starts after a line Briefing and ends at a boundary, which may be the beginning of a line; items
+    open with an arrow; the page is named anywhere in an item, or nowhere.
+    """
+    by = Window.partitionBy("page").orderBy("line_no")
+    upto = by.rowsBetween(Window.unboundedPreceding, 0)
+    rows = lines.withColumn("line", X.squeeze(F.col("line"))).filter("line <> ''")
+    rows = rows.withColumn("open", F.max(F.col("line").rlike("(?i)^briefing$").cast("int")).over(by.rowsBetween(Window.unboundedPreceding, -1))).filter("open = 1")
+    rows = rows.withColumn("stop", F.max(F.col("line").rlike("(?i)^(world markets|subscribe|for the latest news|contents|index)\\b").cast("int")).over(upto)).filter("stop = 0")
+    arrow = "^[^A-Za-z]{0,4}[>»•▶▸►] *"
+    rows = rows.withColumn("item_no", F.sum(F.col("line").rlike(arrow).cast("int")).over(upto)).filter("item_no > 0")
+    joined = rows.groupBy("page", "item_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.regexp_replace("line", arrow, "").alias("line")))), lambda x: x["line"]), " ").alias("text"))
+    text = F.regexp_replace(X.squeeze(F.col("text")), "^[ –—-]+|[ –—-]+$", "")
+    return joined.select("page", "item_no", text.alias("text"), F.nullif(F.regexp_extract("text", "(?i)\\bpage *([0-9]{1,3})\\b", 1), F.lit("")).alias("label")).filter("text <> ''")
+
+
+def directory_region(blocks: DataFrame) -> DataFrame:
+    """Blocks of the left-hand news directory, with their place: under its heading, left of the next column.
+
+    The heading is the top-most block that names the directory in the left of the page; a block that
+    holds a group's name may be wider; the first block that opens with a boundary ends the region.
+    """
+    page = Window.partitionBy("page")
+    named = F.lower(F.regexp_replace("text", "[’']", "")).rlike("what *s[ \\t-\\r]+news|whats[ \\t-\\r]+news") & (F.col("x0") <= 0.36 * F.col("width"))
+    head = F.min(F.when(named, F.struct("y0", "x0", "x1", "ordinal"))).over(page)
+    rows = blocks.withColumn("head", head).filter("head is not null")
+    right = (F.col("x0") > F.col("head.x1") + F.greatest(F.lit(6.0), 0.01 * F.col("width"))) & (F.col("y1") >= F.col("head.y0") - 4)
+    rows = rows.withColumn("next_x", F.coalesce(F.min(F.when(right, F.col("x0"))).over(page), F.col("head.x1") + 0.04 * F.col("width")))
+    limit = directory_limit(F.col("width"), F.col("head.x1"), F.col("next_x"))
+    own = F.col("ordinal") == F.col("head.ordinal")
+    group = F.col("text").rlike("(?im)^[ \\t]*(business[ \\t-\\r]*&[ \\t-\\r]*finance|worldwide)[ \\t]*$")
+    inside = (F.col("y1") >= F.col("head.y0") - 4) & (F.col("y0") <= 0.98 * F.col("height")) & (F.col("x0") <= limit) & ((F.col("x1") <= limit + 0.03 * F.col("width")) | own | group)
+    order = Window.partitionBy("page").orderBy(F.when(own, 0).otherwise(1), F.greatest("y0", "head.y0"), "x0", "ordinal")
+    kept = rows.filter(inside).withColumn("place", F.row_number().over(order).cast("long"))
+    return _until_boundary(kept, "(?i)^(contents|index|markets|opinion|weather|corrections?)\\b").select("page", "id", "place")
+
+
+def briefing_region(blocks: DataFrame) -> DataFrame:
+    """Blocks of the right-hand briefing rail, with their place."""
+    page = Window.partitionBy("page")
+    named = F.col("text").rlike("(?im)^[ \\t]*briefing[ \\t]*$") & (F.col("x0") >= 0.65 * F.col("width")) & (F.col("y0") <= 0.4 * F.col("height"))
+    rows = blocks.withColumn("head", F.min(F.when(named, F.struct("y0", "x0"))).over(page)).filter("head is not null")
+    left = F.greatest(0.72 * F.col("width"), F.col("head.x0") - 0.03 * F.col("width"))
+    inside = (F.col("x0") >= left) & (F.col("y0") >= F.col("head.y0") - 4) & (F.col("y1") <= 0.78 * F.col("height"))
+    kept = rows.filter(inside).withColumn("place", F.row_number().over(Window.partitionBy("page").orderBy("y0", "x0", "ordinal")).cast("long"))
+    return _until_boundary(kept, "(?i)^(world markets|subscribe|for the latest news|contents|index)\\b").select("page", "id", "place")
+
+
+def _until_boundary(placed: DataFrame, pattern: str) -> DataFrame:
+    """Rows of a page before the first, other than the very first, whose opening line matches."""
+    opening = X.squeeze(F.substring_index(X.strip(F.col("text")), "\n", 1))
+    hit = ((F.col("place") > 1) & opening.rlike(pattern)).cast("int")
+    by = Window.partitionBy("page").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.withColumn("_stop", F.max(hit).over(by)).filter("_stop = 0").drop("_stop")
+
+
 def front_page(pages: DataFrame) -> DataFrame:
     """The first page of each issue with the label that its publication gives its front page and with directory groups."""
     expected = F.when(F.col("publication_type") == "WSJ", "A1").when(F.col("publication_type") == "FT", "1")

@@ -33,24 +33,40 @@ def neighbours(articles: DataFrame) -> DataFrame:
     return articles.withColumn("previous", F.lag("ordinal").over(by)).withColumn("next", F.lead("ordinal").over(by))
 
 
-def page_heading(section: Column, label: Column, page: Column) -> Column:
-    """What a page is called: its section with its label, its label, its PDF page, or unknown."""
-    s, lab = F.nullif(F.trim(F.coalesce(section, F.lit(""))), F.lit("")), F.nullif(F.trim(F.coalesce(label, F.lit(""))), F.lit(""))
-    return F.coalesce(F.when(s.isNotNull() & lab.isNotNull(), F.concat(lab, F.lit(" · "), display_case(s))), display_case(s), lab, F.when(page > 0, F.format_string("PDF %d", page)), F.lit("Unknown"))
+UNKNOWN_SECTION, UNKNOWN_PAGE = "Section unknown", "PDF page unknown"
+
+
+def page_label(section: Column, label: Column, page: Column, origin: Column) -> Column:
+    """A page's label, its PDF page, or its section where only that is printed."""
+    s, n = (F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit("")) for c in (section, label))
+    pdf = F.when(page > 0, F.format_string("PDF %d", page)).otherwise(UNKNOWN_PAGE)
+    return F.when(F.coalesce(origin, F.lit("")) == "section_only", F.coalesce(s, F.lit(UNKNOWN_SECTION))).otherwise(F.coalesce(n, pdf))
+
+
+def page_heading(section: Column, label: Column, page: Column, origin: Column) -> Column:
+    """What a page is called: its label and its section in headline case."""
+    shown = F.nullif(display_case(F.trim(F.coalesce(section, F.lit("")))), F.lit(""))
+    both = F.concat(page_label(section, label, page, origin), F.lit(" · "), F.coalesce(shown, F.lit(UNKNOWN_SECTION)))
+    return F.when(F.coalesce(origin, F.lit("")) == "section_only", page_label(section, label, page, origin)).otherwise(both)
 
 
 # Words that display_case keeps small, and acronyms that it keeps large.
-SMALL_WORDS = ("a", "an", "and", "of", "on", "the", "in", "to", "for")
-ACRONYMS = ("FT", "UK", "US", "U.S.")
+SMALL_WORDS = ("a", "an", "and", "at", "by", "for", "in", "of", "on", "or", "the", "to", "with")
+ACRONYMS = ("AI", "CEO", "CFO", "EU", "UK", "U.K.")
 
 
 def display_case(text: Column) -> Column:
-    """Headline case of an upper-case name: small words small but for the first, acronyms as they are."""
+    """Headline case of an upper-case name: small words small but for the first, acronyms large; other names as they are."""
 
     def one(word: Column, i: Column) -> Column:
-        return F.when(F.upper(word).isin(*ACRONYMS), F.upper(word)).when((i > 0) & F.lower(word).isin(*SMALL_WORDS), F.lower(word)).otherwise(F.concat(F.upper(F.left(word, F.lit(1))), F.lower(F.substring(word, F.lit(2), F.length(word)))))
-
-    return F.array_join(F.transform(F.split(text, " "), one), " ")
+        low = F.lower(word)
+        first = F.regexp_extract(low, "^([^a-z]*)", 1)
+        at = F.length(first)
+        capital = F.concat(first, F.upper(F.substring(low, at + 1, F.lit(1))), F.substring(low, at + 2, F.length(low)))
+        return F.when(F.upper(word).isin(*ACRONYMS), F.upper(word)).when((i > 0) & low.isin(*SMALL_WORDS), low).otherwise(capital)
+
+    cased = F.array_join(F.transform(F.split(F.regexp_replace(text, " +", " "), " "), one), " ")
+    return F.when((F.upper(text) == text) & text.rlike("[A-Z]"), cased).otherwise(text)
 
 
 def pages_from_articles(articles: DataFrame) -> DataFrame:

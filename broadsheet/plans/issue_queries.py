@@ -281,7 +281,7 @@ def prior_titles_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(rf"""WITH {ARTICLES}, n AS (SELECT ordinal, len(regexp_extract_all(body, '[A-Za-z0-9]+(?:[\x27-][A-Za-z0-9]+)?')) AS n FROM a)
-SELECT ordinal AS doc_id, CAST(greatest(5000, least(16000, floor(3500 + 3.5 * n))) AS BIGINT) AS tokens, CAST(CASE WHEN n < 800 THEN 420 WHEN n < 1800 THEN 520 ELSE 620 END AS INT) AS low FROM n""")
+SELECT ordinal AS doc_id, CAST(least(7000, greatest(5000, floor(3500 + 3.5 * n))) AS BIGINT) AS tokens, CAST(CASE WHEN n <= 900 THEN 420 WHEN n <= 1800 THEN 520 ELSE 620 END AS INT) AS low FROM n""")
 def compile_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = articles(spark, sf_dir)
     return rows.select(F.col("ordinal").alias("doc_id"), A.compile_budget(F.col("body")).alias("tokens"), A.summary_band(X.word_count(F.col("body")))["low"].alias("low"))

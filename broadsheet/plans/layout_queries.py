@@ -43,10 +43,10 @@ def header_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.header_band(blocks(spark, sf_dir)).select("page", "id", "place")
 
 
-@register(rf"""WITH {BLOCKS}, x AS (SELECT *, x0 + 90 AS x1, y0 + 25 AS y1 FROM b), h AS (SELECT page, id AS heading, x0 AS hx0, x1 AS hx1, y1 AS hy1 FROM x WHERE ordinal % 4 = 1),
-p AS (SELECT x.page, x.id, heading, y0 - hy1 AS gap, abs((x0 + x1 - hx0 - hx1) / 2) AS apart, greatest(0, least(x1, hx1) - greatest(x0, hx0)) / greatest(least(x1 - x0, hx1 - hx0), 1) AS share FROM x JOIN h ON x.page = h.page WHERE ordinal % 4 <> 1),
-s AS (SELECT page, id, heading, round(gap + 0.18 * apart - 60 * share, 4) AS score FROM p WHERE gap >= 0 AND gap <= 900 AND share > 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY score, heading) AS r FROM s) SELECT page, id, heading, score FROM r WHERE r = 1""")
+@register(rf"""WITH {BLOCKS}, x AS (SELECT *, x0 + 90 AS x1, y0 + 25 AS y1 FROM b), h AS (SELECT page, id AS heading, ordinal AS ho, x0 AS hx0, x1 AS hx1, y1 AS hy1 FROM x WHERE ordinal % 4 = 1),
+p AS (SELECT x.page, x.id, heading, ho, y0 - hy1 AS gap, abs((x0 + x1 - hx0 - hx1) / 2) AS apart, greatest(0, least(x1, hx1) - greatest(x0, hx0)) / greatest(least(x1 - x0, hx1 - hx0), 1) AS share FROM x JOIN h ON x.page = h.page WHERE ordinal % 4 <> 1),
+s AS (SELECT page, id, heading, ho, round(gap + 0.18 * apart - 60 * share, 4) AS score FROM p WHERE gap >= -2 AND gap <= 900 AND share >= 0.12),
+r AS (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY score, ho) AS r FROM s) SELECT page, id, heading, score FROM r WHERE r = 1""")
 def heading_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = blocks(spark, sf_dir)
     return layout.assign_headings(rows.filter("ordinal % 4 <> 1"), rows.filter("ordinal % 4 = 1"))

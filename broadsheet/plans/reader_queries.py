@@ -26,14 +26,13 @@ def reader_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("issue").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains(F.lower("title"), F.lit("license"))).alias("in_title"))
 
 
-@register("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'A' || c_nationkey || ' · ' || s WHEN c_custkey % 4 = 1 THEN s WHEN c_custkey % 4 = 2 THEN 'A' || c_nationkey WHEN c_custkey % 8 = 3 THEN 'PDF ' || c_custkey ELSE 'Unknown' END AS heading
-FROM (SELECT *, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Automobile of the UK' WHEN 'BUILDING' THEN 'Building of the UK' WHEN 'FURNITURE' THEN 'Furniture of the UK' WHEN 'HOUSEHOLD' THEN 'Household of the UK' WHEN 'MACHINERY' THEN 'Machinery of the UK' END AS s FROM customer) WHERE s IS NOT NULL""")
+@register("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'A' || c_nationkey || ' · ' || s WHEN c_custkey % 4 = 1 THEN c_mktsegment || ' OF THE UK' WHEN c_custkey % 4 = 2 THEN 'A' || c_nationkey || ' · Section unknown' ELSE 'PDF ' || c_custkey || ' · ' || s END AS heading
+FROM (SELECT *, upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) || ' of the UK' AS s FROM customer)""")
 def page_heading_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
     k = F.col("c_custkey") % 4
-    section = F.when(k <= 1, F.concat("c_mktsegment", F.lit(" OF THE UK")))
+    section = F.when(k != 2, F.concat("c_mktsegment", F.lit(" OF THE UK")))
     label = F.when((k == 0) | (k == 2), F.concat(F.lit("A"), F.col("c_nationkey")))
-    return rows.select("c_custkey", reader.page_heading(section, label, F.when(F.col("c_custkey") % 8 == 3, F.col("c_custkey")).otherwise(0)).alias("heading"))
+    return table(spark, sf_dir, "customer").select("c_custkey", reader.page_heading(section, label, F.col("c_custkey"), F.when(k == 1, "section_only")).alias("heading"))
 
 
 @register("""WITH g AS (SELECT source AS issue, lang AS category, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY ALL) SELECT issue, category, n, row_number() OVER (PARTITION BY issue ORDER BY first) AS position FROM g""")

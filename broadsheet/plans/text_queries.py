@@ -219,10 +219,10 @@ def paragraph_cleanup_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.array_join(X.clean_paragraphs(F.col("text")), "\n\n").alias("text"))
 
 
-MARKS = [(1, "Rates rise (Continued)"), (2, "Oil — continued from Page One"), (3, "Bonds"), (4, "Story ends here. B"), (5, "中文。短句！English?")]
+MARKS = [(1, "Rates rise (Continued)"), (2, "Oil — Continued"), (3, "Bonds"), (4, "Story ends here. B"), (5, "中文。短句！English?")]
 
 
-@register("SELECT * FROM (VALUES (1, 'Rates rise', true, 'Rates rise (Continued)', 0, 1), (2, 'Oil', true, 'Oil — continued from Page One', 0, 1), (3, 'Bonds', false, 'Bonds', 0, 1), (4, 'Story ends here. B', false, 'Story ends here.', 0, 1), (5, '中文。短句！English?', false, '中文。短句！English?', 4, 3)) t(id, base, continued, unmarked, n_cjk, n_sentences)")
+@register("SELECT * FROM (VALUES (1, 'Rates rise', true, 'Rates rise (Continued)', 0, 1), (2, 'Oil', true, 'Oil — Continued', 0, 1), (3, 'Bonds', false, 'Bonds', 0, 1), (4, 'Story ends here. B', false, 'Story ends here.', 0, 1), (5, '中文。短句！English?', false, '中文。短句！English?', 4, 3)) t(id, base, continued, unmarked, n_cjk, n_sentences)")
 def mark_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
     rows = spark.createDataFrame(MARKS, "id int, text string")

@@ -34,13 +34,18 @@ def test_file_names(spark, name, kind, day):
 
 
 def test_truncation_and_errors(spark):
-    long = "One sentence here that goes on for quite some while so that it is long enough to count as a whole text. " + "tail " * 40
-    cut = one(spark, X.truncate_at_sentence(F.col("t"), 60, 120), t=(long, "string"))
-    assert cut.endswith("whole text.")
-    assert one(spark, X.truncate_at_sentence(F.col("t"), 60, 20), t=("x" * 50, "string")) == "x" * 20 + "…"
+    long = "一" * 120 + "。" + "二" * 200
+    assert one(spark, X.truncate_at_sentence(F.col("t")), t=(long, "string")) == "一" * 120 + "。"
+    assert one(spark, X.truncate_at_sentence(F.col("t")), t=("一。" + "x" * 197 + ",yyyy", "string")) == "一。" + "x" * 197 + "…"
+    assert one(spark, X.truncate_at_sentence(F.col("t")), t=("x" * 200, "string")) == "x" * 200
     assert len(one(spark, X.compact_error(F.col("t")), t=("e " * 500, "string"))) == 220
 
 
+def test_english_names_in_chinese(spark):
+    text = "美联储 Federal Reserve 与 federal reserve，还有 inflation、GPT-4 和 U.S. Steel。"
+    assert one(spark, X.english_in_cjk(F.col("t"), 3), t=(text, "string")) == ["Federal Reserve", "GPT-4", "U.S. Steel"]
+
+
 def test_occurrences_keep_the_surface(spark):
     assert one(spark, X.occurrences(F.col("t"), "U.S."), t=("The u.s. and U.S., not XU.S.", "string")) == ["u.s.", "U.S."]
 
@@ -124,7 +129,7 @@ def test_layout_enrichment(spark):
 
 
 def test_glossary(spark):
-    for term, good in [("NATO", True), ("market", False), ("interest rate", False), ("Federal Reserve", True), ("G7", True), ("x", False)]:
+    for term, good in [("NATO", True), ("market", False), ("rate", False), ("Federal Reserve", True), ("G7", True), ("x", False), ("US", False)]:
         assert one(spark, glossary.is_proper_term(F.col("t")), t=(term, "string")) is good
     paragraphs = spark.createDataFrame([("a", 0, "U.S. and u.s. bonds"), ("a", 1, "no term")], "article string, paragraph int, text string")
     terms = spark.createDataFrame([("a", "g", "U.S.")], "article string, glossary_id string, term string")
