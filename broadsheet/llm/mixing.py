@@ -86,7 +86,7 @@ def keyed(docs: DataFrame, tokens: Column, id_col: str, source_col: str, seed: s
     return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.greatest(tokens.cast("long"), F.lit(1)).cast("long").alias("tokens"), key.alias("key"))
 
 
-def streams(rows: DataFrame, rows_per_run: int = 50_000) -> DataFrame:
+def streams(rows: DataFrame, rows_per_run: int = 10_000) -> DataFrame:
     """rows of keyed() with before: tokens of its source that come earlier in the permutation.
 
     No task sees a whole source: rows are summed in runs of hashes (key prefixes), of about
