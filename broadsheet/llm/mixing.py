@@ -107,12 +107,13 @@ def streams(rows: DataFrame, rows_per_run: int = 10_000) -> DataFrame:
 
 
 def mixture(docs: DataFrame, tokens: Column, block_tokens: int, id_col: str = "doc_id", source_col: str = "source", target_entropy: float | None = None, repetition_limit: float | None = None, seed: str = "mix:") -> DataFrame:
-    """Every use of every document: id, source, tokens, epoch, block and rank in it.
+    """Every use of every document: id, source, tokens, epoch, block and slot in it.
 
     Source s has a quota of the (lossless) budget. Its documents in permuted order, repeated, form a
     stream; those that begin before the quota is used up are taken, so each document at least once.
     A block takes block_tokens * parts / PARTS tokens of each stream, by where a document begins.
-    rank orders a block by a hash, so that the sources mix. Empty tables give no rows.
+    slot is the place in the block's permutation, from 0, by a hash: so the sources mix. A block is
+    ranked by itself, and its budget bounds it. Empty tables give no rows.
     """
     rows = cut(keyed(docs, tokens, id_col, source_col, seed))
     weights = source_weights(rows.groupBy("source").agg(F.sum("tokens").alias("tokens")), target_entropy, repetition_limit)
@@ -125,7 +126,9 @@ def mixture(docs: DataFrame, tokens: Column, block_tokens: int, id_col: str = "d
     share = F.greatest(F.lit(1), F.expr(f"{block_tokens} * parts div {PARTS}"))
     taken = taken.withColumn("at", at).withColumn("share", share)
     order = F.md5(F.concat("key", F.lit(":"), F.col("epoch").cast("string")))
-    return taken.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "tokens", "epoch", F.col("at").alias("stream_at"), F.expr("at div share").alias("block"), order.alias("block_order"), "parts", "budget", "quota")
+    blocked = taken.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "tokens", "epoch", F.col("at").alias("stream_at"), F.expr("at div share").alias("block"), order.alias("order"), "parts", "budget", "quota")
+    slot = F.row_number().over(Window.partitionBy("block").orderBy("order", "stream_at", source_col)) - 1
+    return blocked.withColumn("slot", slot.cast("long")).drop("order")
 
 
 def mix(docs: DataFrame, tokens: Column, id_col: str = "doc_id", source_col: str = "source", target_entropy: float | None = None, repetition_limit: float | None = None, seed: str = "mix:") -> DataFrame:

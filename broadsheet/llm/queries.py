@@ -102,7 +102,7 @@ o AS (SELECT *, CAST(coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY key
 u AS (SELECT o.*, size, parts, budget, quota, unnest(range(greatest((quota - before + size - 1) // size, 1))) AS epoch FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, source, tokens, epoch, before + epoch * size AS stream_at,
   (before + epoch * size) // greatest(1, 1048576 * parts // 1000000) AS block,
-  md5(key || ':' || CAST(epoch AS VARCHAR)) AS block_order, parts, budget, quota
+  row_number() OVER (PARTITION BY (before + epoch * size) // greatest(1, 1048576 * parts // 1000000) ORDER BY md5(key || ':' || CAST(epoch AS VARCHAR)), before + epoch * size, source NULLS FIRST) - 1 AS slot, parts, budget, quota
 FROM u
 """
 
