@@ -14,7 +14,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import random
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -150,7 +151,11 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _small_groups(fps: np.ndarray, end: np.ndarray, radius: int) -> np.ndarray:
+#: Tells which proposed pairs of rows are links.
+Check = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def _small_groups(fps: np.ndarray, end: np.ndarray, radius: int, check: Check | None = None) -> np.ndarray:
     """Roots for rows in groups; end[i] is where row i's group ends. Groups have at most SMALL rows."""
     planes, rows = _planes(fps), np.arange(len(fps))
     first, last = (rows + 1) // 64, (end - 1) // 64
@@ -167,14 +172,16 @@ def _small_groups(fps: np.ndarray, end: np.ndarray, radius: int) -> np.ndarray:
         for lane in range(64):
             hit = np.flatnonzero(near >> np.uint64(lane) & _ONE)
             if len(hit):
-                found_a.append(query[at[hit]])
-                found_b.append(64 * word[at[hit]] + lane)
+                one, two = query[at[hit]], 64 * word[at[hit]] + lane
+                linked = check(one, two) if check else slice(None)
+                found_a.append(one[linked])
+                found_b.append(two[linked])
         begin = stop
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
     return _roots(len(fps), a, b)
 
 
-def _large_group(fps: np.ndarray, radius: int) -> np.ndarray:
+def _large_group(fps: np.ndarray, radius: int, check: Check | None = None) -> np.ndarray:
     """Roots of one group: breadth first, each row compared only with those that no class has yet."""
     n, planes = len(fps), _planes(fps)
     open_ = _lanes_between(np.arange(planes.shape[1]), np.zeros(planes.shape[1], np.int64), np.full(planes.shape[1], n))
@@ -189,9 +196,15 @@ def _large_group(fps: np.ndarray, radius: int) -> np.ndarray:
             if not len(words):
                 break
             query, word = np.repeat(some, len(words)), np.tile(words, len(some))
-            for j in range(0, len(query), WORDS_AT_ONCE):
-                q, w = query[j : j + WORDS_AT_ONCE], word[j : j + WORDS_AT_ONCE]
+            most = WORDS_AT_ONCE // 16 if check else WORDS_AT_ONCE
+            for j in range(0, len(query), most):
+                q, w = query[j : j + most], word[j : j + most]
                 at, hits = _within(planes, fps[q], w, open_[w], radius)
+                if len(at) and check:
+                    lanes = np.unpackbits(hits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    pair, lane = np.nonzero(lanes)
+                    lanes[pair, lane] = check(q[at[pair]], 64 * w[at[pair]] + lane)
+                    hits = np.packbits(lanes, axis=1, bitorder="little").view(np.uint64).ravel()
                 if len(at):
                     mask = np.zeros(planes.shape[1], np.uint64)
                     np.bitwise_or.at(mask, w[at], hits)
@@ -212,39 +225,57 @@ def _large_group(fps: np.ndarray, radius: int) -> np.ndarray:
     return label
 
 
-def group_roots(keys: np.ndarray, fps: np.ndarray, radius: int) -> np.ndarray:
-    """For rows sorted by key: row number of the root of each row's class within its group."""
+def group_roots(keys: np.ndarray, fps: np.ndarray, radius: int, check: Check | None = None) -> np.ndarray:
+    """For rows sorted by key: row number of the root of each row's class within its group.
+
+    check: where the fingerprints only propose, tells which pairs of rows are links.
+    """
     if not len(keys):
         return np.zeros(0, np.int64)
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([begins, [len(keys)]]))
     out = np.arange(len(keys))
     for begin, size in zip(begins[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        out[begin : begin + size] = begin + _large_group(fps[begin : begin + size], radius)
-    some = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
-    rows = np.flatnonzero(some)
+        own = (lambda a, b, n=begin: check(a + n, b + n)) if check else None
+        out[begin : begin + size] = begin + _large_group(fps[begin : begin + size], radius, own)
+    small = (sizes > 1) & (sizes <= SMALL)
+    rows = np.flatnonzero(np.repeat(small, sizes))
     if len(rows):
-        ends = np.repeat(np.cumsum(sizes[(sizes > 1) & (sizes <= SMALL)]), sizes[(sizes > 1) & (sizes <= SMALL)])
-        out[rows] = rows[_small_groups(fps[rows], ends, radius)]
+        ends = np.repeat(np.cumsum(sizes[small]), sizes[small])
+        own = (lambda a, b: check(rows[a], rows[b])) if check else None
+        out[rows] = rows[_small_groups(fps[rows], ends, radius, own)]
     return out
 
 
-def _stars(radius: int):
+def _stars(radius: int, most: int | None = None):
+    """Links of groups in rows (key, words of the fingerprint) sorted by key: (u, v), v the root.
+
+    With one word its value is the node; with several the first proposes pairs within radius, all of
+    them together must differ in ``most`` bits at most, and the node is a column of its own.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            roots = group_roots(key, fp.view(np.uint64), radius)
+        def links(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key, node, words = rows[0], rows[1], [x.view(np.uint64) for x in rows[2:] or rows[1:]]
+
+            def check(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                return sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in words) <= most
+
+            roots = group_roots(key, words[0], radius, check if most is not None else None)
             at = np.flatnonzero(roots != np.arange(len(roots)))
             if len(at):
-                yield pa.record_batch([pa.array(fp[at]), pa.array(fp[roots[at]])], names=["u", "v"])
+                yield pa.record_batch([pa.array(node[at]), pa.array(node[roots[at]])], names=["u", "v"])
 
-        key, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        rows: list[np.ndarray] = []
         for batch in batches:
-            key, fp = np.concatenate([key, batch.column(0).to_numpy()]), np.concatenate([fp, batch.column(1).to_numpy()])
-            if len(key) >= 1 << 15 and key[0] != key[-1]:  # all but the last group is whole
-                whole = int(np.searchsorted(key, key[-1]))
-                yield from links(key[:whole], fp[:whole])
-                key, fp = key[whole:], fp[whole:]
-        yield from links(key, fp)
+            new = [c.to_numpy() for c in batch.columns]
+            rows = [np.concatenate(p) for p in zip(rows, new, strict=True)] if rows else new
+            if len(rows[0]) >= 1 << 15 and rows[0][0] != rows[0][-1]:  # all but the last group is whole
+                whole = int(np.searchsorted(rows[0], rows[0][-1]))
+                yield from links([r[:whole] for r in rows])
+                rows = [r[whole:] for r in rows]
+        if rows:
+            yield from links(rows)
 
     return run
 
@@ -268,17 +299,20 @@ def link_stars(distinct: DataFrame, radius: int, n: int) -> DataFrame:
         kept.append(F.xxhash64(F.lit(number), F.col("fp").bitwiseAND(F.lit(mask).cast("long"))))
     # Keys are hashes: buckets that share one are compared together, which adds no link beyond the radius.
     rows = distinct.select(F.explode(F.array(*kept)).alias("key"), "fp")
-    large = rows.groupBy("key").count().filter(F.col("count") > TILE).select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
-    large = cut(large)
-    if large.isEmpty():
-        tiled = rows
-    else:
+    return _dealt(rows, "fp").mapInArrow(_stars(radius), "u long, v long")
+
+
+def _dealt(rows: DataFrame, node: str) -> DataFrame:
+    """Rows of buckets (key, node, ...) dealt out and sorted by key; of a bucket over TILE rows, each pair of tiles is a bucket."""
+    large = cut(rows.groupBy("key").count().filter(F.col("count") > TILE).select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
+    tiled = rows
+    if not large.isEmpty():
         both = rows.join(large, "key", "left")
-        own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
+        own = F.pmod(F.xxhash64(node), F.col("tiles")).cast("int")
         pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.xxhash64("key", F.least(own, t), F.greatest(own, t)))
-        tiled = both.select(F.explode(F.when(F.col("tiles").isNull(), F.array("key")).otherwise(pairs)).alias("key"), "fp")
-    dealt = tiled.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(_stars(radius), "u long, v long")
+        some = F.explode(F.when(F.col("tiles").isNull(), F.array("key")).otherwise(pairs)).alias("key")
+        tiled = both.select(some, *[c for c in rows.columns if c != "key"])
+    return tiled.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key", node)
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -343,15 +377,97 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return marked.select(F.col("id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, seed: int = 42, radius: int = 4) -> DataFrame:
-    """docs with one row of each component: the one with the smallest id.
+#: Words of a wide fingerprint, and what similarity its bits tell: tables of sampled bits propose
+#: pairs, the first word within FIRST bits proposes again, all words decide.
+WIDE, TABLES, SAMPLED, FIRST = 4, 40, 12, 18
+_SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def wide_simhash(text: str | None, words_in_shingle: int, seed: int) -> list[int]:
+    """Fingerprint of WIDE 64-bit words; like simhash(), each word from hashes mixed its own way. A set: repeated shingles count once."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return [0] * WIDE
+    k = words_in_shingle
+    h = np.array(list({xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), seed) for i in range(max(1, len(words) - k + 1))}), np.uint64)
+    out = []
+    for spread in _SPREAD:
+        x = h * spread
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xFF51AFD7ED558CCD)
+        x ^= x >> np.uint64(29)
+        ones = np.zeros(64, np.int64)
+        for i in range(0, len(x), 1 << 14):
+            ones += np.unpackbits(x[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > len(x), bitorder="little").view("<u8")[0]))
+    return out
+
+
+def bits_of_similarity(jaccard: float, slack: float = 2.5) -> int:
+    """Differing bits of a wide fingerprint that sets of this Jaccard similarity and like size stay within, but for slack standard deviations."""
+    share = float(np.arccos(2 * jaccard / (1 + jaccard)) / np.pi)
+    n = 64 * WIDE
+    return int(n * share + slack * np.sqrt(n * share * (1 - share)))
+
+
+def wide_fingerprint(text: Column, words_in_shingle: int = 5, seed: int = 42) -> Column:
+    """struct(w0, w1, ...) of a text column."""
+
+    @pandas_udf(", ".join(f"w{i} long" for i in range(WIDE)))
+    def of(texts: pd.Series) -> pd.DataFrame:
+        found = np.array([wide_simhash(x, words_in_shingle, seed) for x in texts], np.uint64).reshape(-1, WIDE)
+        return pd.DataFrame(found.view(np.int64), columns=[f"w{i}" for i in range(WIDE)])
+
+    return of(text)
+
 
-    Of rows that share that id one with the smallest fingerprint stays, whichever if that ties too.
-    Where a component has null ids only, one of its rows stays. Columns are those of docs.
+def _table_keys(seed: int):
+    """Rows (node, w0, ...) to TABLES rows (key, node, w0, ...): a key is the table's number and SAMPLED bits."""
+    bits = [random.Random(f"{seed}:{t}").sample(range(64 * WIDE), SAMPLED) for t in range(TABLES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [c.to_numpy().view(np.uint64) for c in batch.columns[1:]]
+            for t, some in enumerate(bits):
+                key = np.full(batch.num_rows, t, np.int64)
+                for b in some:
+                    key = key << 1 | (words[b >> 6] >> np.uint64(b & 63) & _ONE).astype(np.int64)
+                yield pa.record_batch([pa.array(key), *batch.columns], names=["key", *batch.schema.names])
+
+    return run
+
+
+def near_copy_classes(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, seed: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(id, node) of each row, and (node, root, component_id) of each distinct fingerprint, for near copies of this similarity."""
+    w = [f"w{i}" for i in range(WIDE)]
+    prints = docs.select(F.col(id_col).alias("id"), wide_fingerprint(F.col(text_col), words_in_shingle, seed).alias("f")).select("id", "f.*")
+    prints = cut(prints.select("id", F.xxhash64(*w).alias("node"), *w))
+    distinct = cut(prints.groupBy("node").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in w]))
+    kind = "key long, node long, " + ", ".join(f"{c} long" for c in w)
+    rows = distinct.select("node", *w).mapInArrow(_table_keys(seed), kind)
+    links = _dealt(rows, "node").mapInArrow(_stars(FIRST, bits_of_similarity(similarity)), "u long, v long")
+    roots = cut(components(links)).withColumnRenamed("node", "linked")
+    joined = distinct.join(roots, distinct["node"] == roots["linked"], "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.select("id", "node"), joined.select("node", "root").join(least, "root").select("node", "root", "component_id")
+
+
+def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, seed: int = 42, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of each group of near copies: the one with the smallest id.
+
+    A radius of 4 in 64 bits sees similarities from about 0.95; here fingerprints have 64 * WIDE bits
+    and are linked within bits_of_similarity. So many bits differ that pigeonhole buckets would hold
+    everything, hence pairs are proposed by TABLES tables of SAMPLED bits: two texts whose shingle
+    sets have a similarity of 0.8 differ in about 15 of 100 bits and share a bucket of some table
+    with a probability of 0.997. Comparison is bit-sliced. Texts without a word are one group.
+
+    Of rows that share the smallest id one with the smallest fingerprint hash stays, whichever if
+    that ties too. Where a group has null ids only, one of its rows stays. Columns are those of docs.
     """
-    marked = _marked(docs, id_col, text_col, words_in_shingle, seed, radius)
-    own = F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("fp")))
-    keepers = cut(marked.groupBy("root", F.col("component_id").alias("_id")).agg(own.alias("_fp")).select("_id", "_fp"))
+    prints, classes = near_copy_classes(docs, id_col, text_col, words_in_shingle, seed, similarity)
+    marked = prints.join(classes, "node")
+    own = F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("node")))
+    keepers = cut(marked.groupBy("root", F.col("component_id").alias("_id")).agg(own.alias("_node")).select("_id", "_node"))
     rows = wrapped(docs, id=F.col(id_col), text=F.col(text_col))
     kept = rows.join(keepers, rows["id"].eqNullSafe(keepers["_id"]), "left_semi")
     # Ids that repeat are settled apart, so that no text is sorted for the others.
@@ -359,6 +475,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if twice.isEmpty():
         return kept.select("doc.*")
     once = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_anti")
-    again = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_semi").withColumn("fp", fingerprint(F.col("text"), words_in_shingle, seed))
-    chosen = again.join(keepers, again["id"].eqNullSafe(keepers["_id"]) & (again["fp"] == keepers["_fp"]), "left_semi")
-    return once.select("doc").unionByName(chosen.dropDuplicates(["id", "fp"]).select("doc")).select("doc.*")
+    again = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_semi").withColumn("f", wide_fingerprint(F.col("text"), words_in_shingle, seed))
+    again = again.withColumn("node", F.xxhash64(*[f"f.w{i}" for i in range(WIDE)]))
+    chosen = again.join(keepers, again["id"].eqNullSafe(keepers["_id"]) & (again["node"] == keepers["_node"]), "left_semi")
+    return once.select("doc").unionByName(chosen.dropDuplicates(["id", "node"]).select("doc")).select("doc.*")

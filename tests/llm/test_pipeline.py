@@ -4,7 +4,7 @@ import corpus_pipeline as P
 from broadsheet.llm.langid import train
 from broadsheet.llm.quality import quality_report
 from tests.llm.helpers import documents, empty
-from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_simhash import brute_near
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,8 +28,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     rows = good.collect()
     pred = model.predict([r["text"] for r in rows])
     assert ids(told) == sorted(r["doc_id"] for r, (lang, score) in zip(rows, pred, strict=True) if lang != "und" and score >= 0.3)
-    prints = [(r["doc_id"], brute_print(r["text"], 5)) for r in told.collect()]
-    assert ids(single) == sorted(set(brute_components(prints)))
+    assert ids(single) == sorted(set(brute_near(told.collect())))
     assert set(ids(mixed)) == set(ids(single)) and max(Counter(ids(mixed)).values()) <= 3
     assert set(r["doc_id"] for r in packed.collect()) == set(ids(mixed))
     pieces = Counter()
