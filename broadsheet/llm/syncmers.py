@@ -65,18 +65,22 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.greatest(F.size(both), F.lit(1)))
 
 
+KEY = ["k", "z", "h"]
+
+
 def next_in_order(keys: DataFrame) -> DataFrame:
-    """For distinct (doc_id, h, copies, n): the key and n of the row before, in ascending order, around the end.
+    """For distinct (z, k, h, copies, n): the key and n of the row before, in ascending order, around the end.
 
-    The order is by ranges: each is walked by itself, and a table of one row a range joins them up.
+    z is 1 for an id and 0 for null, k the id or 0, h the hash of the text. The order is by ranges:
+    each is walked by itself, and a table of one row a range joins them up.
     """
     spark = keys.sparkSession
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    order = ["z", "k", "h"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut(keys.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("part", F.shiftright("at", 33))
     inside = Window.partitionBy("part").orderBy("at")
-    row = F.struct("doc_id", "h", "n")
+    row = F.struct(*KEY, "n")
     walked = ranged.withColumn("before", F.lag(row).over(inside))
     ends = ranged.groupBy("part").agg(F.max(F.struct(F.col("at"), row.alias("row"))).alias("end"))
     # A row for each range: no more than there are shuffle partitions.
@@ -84,7 +88,7 @@ def next_in_order(keys: DataFrame) -> DataFrame:
     final = F.last("end").over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     joints = ends.select(F.col("part").alias("of"), F.coalesce(F.lag("end").over(across), final)["row"].alias("joint"))
     joined = walked.join(joints, walked["part"] == joints["of"])
-    return joined.select("doc_id", "h", "copies", "n", F.coalesce("before", "joint").alias("before"))
+    return joined.select(*KEY, "copies", "n", F.coalesce("before", "joint").alias("before"))
 
 
 def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,26 +100,34 @@ def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order: all but one of them are followed by their own copy. Texts move once, by a key that only
     such rows share. An empty table gives no rows.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    keys = texts.select("doc_id", "h", F.length("text").cast("long").alias("n")).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
+    doc = F.col(id_col).cast("long")
+    texts = docs.select(F.coalesce(doc, F.lit(0).cast("long")).alias("k"), doc.isNotNull().cast("int").alias("z"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    keys = texts.select(*KEY, F.length("text").cast("long").alias("n")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
     ordered = cut(next_in_order(keys))
-    if not ordered.filter("copies > 1").isEmpty():
-        texts = texts.dropDuplicates(["doc_id", "h"])
-    own = texts.join(ordered, texts["doc_id"].eqNullSafe(ordered["doc_id"]) & (texts["h"] == ordered["h"])).select(texts["doc_id"], texts["h"], "text", "copies", "n", "before")
+    repeats = not ordered.filter("copies > 1").isEmpty()
+    if repeats:
+        texts = texts.dropDuplicates(KEY)
+    # The texts' shuffle, by KEY, serves both sides of the second join.
+    own = texts.join(ordered, KEY).select(*KEY, "text", "copies", "n", "before")
     quarter = lambda n: F.expr(f"cast({n} div 4 as int)")
-    heads = own.select(F.col("before.doc_id").alias("_id"), F.col("before.h").alias("_h"), F.col("doc_id").alias("next_id"), F.col("h").alias("next_h"), F.left("text", quarter("before.n")).alias("head"))
-    both = own.join(heads, own["doc_id"].eqNullSafe(heads["_id"]) & (own["h"] == heads["_h"]))
+    following = [F.col(c).alias(f"next_{c}") for c in KEY]
+    heads = own.select(*[F.col(f"before.{c}").alias(c) for c in KEY], *following, F.left("text", quarter("before.n")).alias("head"))
+    both = own.join(heads, KEY)
     kept = F.left("text", (F.col("n") - F.expr("n div 4")).cast("int"))
 
-    def marked(rows: DataFrame, head: Column) -> DataFrame:
+    def marked(rows: DataFrame, head: Column, again: Column) -> DataFrame:
         rows = rows.withColumn("edited", F.concat(kept, head))
-        return rows.select("doc_id", "h", "n", "copies", "next_id", "next_h", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("text")).alias("sketch"), sketch(F.col("edited")).alias("edited_sketch"))
-
-    prints = stored(marked(both, F.col("head")), "syncmers")
-    other = prints.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("sketch").alias("next_sketch"))
-    lined = prints.join(other, prints["next_id"].eqNullSafe(other["_id"]) & (prints["next_h"] == other["_h"]))
-    columns = [F.col("doc_id").alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", shown(F.col("sketch")).alias("fingerprint"), shown(F.col("edited_sketch")).alias("edited_fingerprint"), likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited")]
+        return rows.select(*KEY, "n", again.cast("long").alias("again"), *[f"next_{c}" for c in KEY], F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("text")).alias("sketch"), sketch(F.col("edited")).alias("edited_sketch"))
+
+    found = marked(both, F.col("head"), F.lit(0))
+    if repeats:  # further copies, each followed by its own text
+        found = found.unionByName(marked(own.filter("copies > 1").select("*", *following), F.left("text", quarter("n")), F.col("copies") - 1))
+    prints = stored(found, "syncmers")
+    other = prints.filter("again = 0").select(*following, F.col("sketch").alias("next_sketch"))
+    lined = prints.filter("again = 0").join(other, [f"next_{c}" for c in KEY])
+    columns = [F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", shown(F.col("sketch")).alias("fingerprint"), shown(F.col("edited_sketch")).alias("edited_fingerprint"), likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited")]
     out = lined.select(*columns, likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
-    repeated = own.filter("copies > 1").withColumn("next_id", F.col("doc_id")).withColumn("next_h", F.col("h"))
-    again = marked(repeated, F.left("text", quarter("n"))).withColumn("_copy", F.explode(F.sequence(F.lit(2).cast("long"), F.col("copies"))))
-    return out.unionByName(again.select(*columns, F.lit(1.0).alias("near_next")))
+    if not repeats:
+        return out
+    copies = prints.filter("again > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("again"))))
+    return out.unionByName(copies.select(*columns, F.lit(1.0).alias("near_next")))
