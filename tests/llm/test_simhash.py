@@ -142,3 +142,20 @@ def test_components_of_long_paths(spark):
     roots = {r["node"]: r["root"] for r in S.components(df).collect()}
     assert all(roots[n] == n // 100 * 100 for n in range(1, 300) if n % 100 and n < 300) and roots[500] == 400
     assert S.components(df.limit(0)).count() == 0
+
+
+def test_groups_whose_links_are_checked(monkeypatch):
+    monkeypatch.setattr(S, "SMALL", 40)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, (12, 2), dtype=np.uint64)
+    rows = base[rng.integers(0, 12, 400)]
+    for _ in range(9):
+        rows = rows ^ (np.uint64(1) << rng.integers(0, 64, (400, 2)).astype(np.uint64)) * rng.integers(0, 2, (400, 2)).astype(np.uint64)
+    keys = np.sort(np.concatenate([np.zeros(300, np.int64), rng.integers(1, 9, 100)]))
+    far = lambda a, b: np.bitwise_count(rows[a] ^ rows[b]).sum(axis=1).astype(np.int64)
+    one, two = np.nonzero(keys[:, None] == keys[None, :])
+    linked = (np.bitwise_count(rows[one, 0] ^ rows[two, 0]) <= 7) & (far(one, two) <= 10)
+    expected = S._roots(400, one[linked], two[linked])
+    found = S.group_roots(keys, rows[:, 0].copy(), 7, lambda a, b: far(a, b) <= 10)
+    assert len(set(zip(found.tolist(), expected.tolist(), strict=True))) == len(set(found.tolist())) == len(set(expected.tolist()))
+    assert 12 < len(set(expected.tolist())) < 400
