@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import cut, wrapped
+from broadsheet.llm.common import cut, stored, wrapped
 
 #: Distinct fingerprints of one bucket that one task compares; larger buckets are split in tiles.
 TILE = 1 << 15
@@ -247,21 +247,54 @@ def group_roots(keys: np.ndarray, fps: np.ndarray, radius: int, check: Check | N
     return out
 
 
-def _stars(radius: int, most: int | None = None):
+def _wide_large(words: np.ndarray, most: int) -> np.ndarray:
+    """Roots of one group of wide fingerprints: breadth first, each row compared only with those that no class has yet."""
+    label, open_ = np.arange(len(words)), np.arange(len(words))
+    while len(open_):
+        seed, open_ = int(open_[0]), open_[1:]
+        frontier = [seed]
+        while frontier and len(open_):
+            near = np.bitwise_count(words[open_] ^ words[frontier.pop()]).sum(axis=1, dtype=np.int64) <= most
+            if near.any():
+                new = open_[near]
+                label[new] = seed
+                frontier.extend(new.tolist())
+                open_ = open_[~near]
+    return label
+
+
+def wide_group_roots(keys: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
+    """Like group_roots, for rows of several words: links are all pairs of a group that differ in ``most`` bits at most."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.concatenate([begins, [len(keys)]]))
+    ends = np.repeat(begins + np.where(sizes <= SMALL, sizes, 0), sizes)
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    rows = np.arange(len(keys))
+    for step in range(1, SMALL):
+        rows = rows[ends[rows] > rows + step]
+        if not len(rows):
+            break
+        one = rows[np.bitwise_count(words[rows] ^ words[rows + step]).sum(axis=1, dtype=np.int64) <= most]
+        found_a.append(one)
+        found_b.append(one + step)
+    out = _roots(len(keys), np.concatenate(found_a), np.concatenate(found_b))
+    for begin, size in zip(begins[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        out[begin : begin + size] = begin + _wide_large(words[begin : begin + size], most)
+    return out
+
+
+def _stars(radius: int, wide: bool = False):
     """Links of groups in rows (key, words of the fingerprint) sorted by key: (u, v), v the root.
 
-    With one word its value is the node; with several the first proposes pairs within radius, all of
-    them together must differ in ``most`` bits at most, and the node is a column of its own.
+    With one word its value is the node; with several (wide) the node is a column of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key, node, words = rows[0], rows[1], [x.view(np.uint64) for x in rows[2:] or rows[1:]]
-
-            def check(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-                return sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in words) <= most
-
-            roots = group_roots(key, words[0], radius, check if most is not None else None)
+            roots = wide_group_roots(key, np.stack(words, axis=1), radius) if wide else group_roots(key, words[0], radius)
             at = np.flatnonzero(roots != np.arange(len(roots)))
             if len(at):
                 yield pa.record_batch([pa.array(node[at]), pa.array(node[roots[at]])], names=["u", "v"])
@@ -302,9 +335,14 @@ def link_stars(distinct: DataFrame, radius: int, n: int) -> DataFrame:
     return _dealt(rows, "fp").mapInArrow(_stars(radius), "u long, v long")
 
 
-def _dealt(rows: DataFrame, node: str) -> DataFrame:
-    """Rows of buckets (key, node, ...) dealt out and sorted by key; of a bucket over TILE rows, each pair of tiles is a bucket."""
-    large = cut(rows.groupBy("key").count().filter(F.col("count") > TILE).select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
+def _dealt(rows: DataFrame, node: str, tile: int | None = None, weight: Column | None = None) -> DataFrame:
+    """Rows of buckets (key, node, ...) dealt out and sorted by key; of a bucket that weighs over a tile, each pair of tiles is a bucket.
+
+    A row weighs 1 and a tile TILE unless told.
+    """
+    tile = tile or TILE
+    sizes = rows.groupBy("key").agg(F.sum(F.lit(1) if weight is None else weight).alias("count"))
+    large = cut(sizes.filter(F.col("count") > tile).select("key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")))
     tiled = rows
     if not large.isEmpty():
         both = rows.join(large, "key", "left")
@@ -377,19 +415,25 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return marked.select(F.col("id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-#: Words of a wide fingerprint, and what similarity its bits tell: tables of sampled bits propose
-#: pairs, the first word within FIRST bits proposes again, all words decide.
-WIDE, TABLES, SAMPLED, FIRST = 4, 40, 12, 18
+#: Words of a wide fingerprint. It only proposes: tables of sampled bits bring pairs together, those
+#: within SLACK standard deviations of the similarity's bits are compared by their shingles.
+WIDE, TABLES, SAMPLED, SLACK = 4, 40, 12, 2.5
+#: Shingles of one group that one task compares; larger groups are split in tiles.
+SET_TILE = 1 << 19
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def wide_simhash(text: str | None, words_in_shingle: int, seed: int) -> list[int]:
-    """Fingerprint of WIDE 64-bit words; like simhash(), each word from hashes mixed its own way. A set: repeated shingles count once."""
+def shingle_set(text: str | None, words_in_shingle: int, seed: int) -> np.ndarray:
+    """Hashes of the distinct shingles of a text, sorted; none for one without a word. Words are those of simhash()."""
     words = (text or "").encode().lower().split()
-    if not words:
-        return [0] * WIDE
     k = words_in_shingle
-    h = np.array(list({xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), seed) for i in range(max(1, len(words) - k + 1))}), np.uint64)
+    shingles = {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else ()
+    return np.unique(np.array([xxhash.xxh64_intdigest(x, seed) for x in shingles], np.uint64))
+
+
+def _wide_of(h: np.ndarray) -> list[int]:
+    if not len(h):
+        return [0] * WIDE
     out = []
     for spread in _SPREAD:
         x = h * spread
@@ -403,6 +447,11 @@ def wide_simhash(text: str | None, words_in_shingle: int, seed: int) -> list[int
     return out
 
 
+def wide_simhash(text: str | None, words_in_shingle: int, seed: int) -> list[int]:
+    """Fingerprint of WIDE 64-bit words; like simhash(), each word from hashes mixed its own way. A set: repeated shingles count once."""
+    return _wide_of(shingle_set(text, words_in_shingle, seed))
+
+
 def bits_of_similarity(jaccard: float, slack: float = 2.5) -> int:
     """Differing bits of a wide fingerprint that sets of this Jaccard similarity and like size stay within, but for slack standard deviations."""
     share = float(np.arccos(2 * jaccard / (1 + jaccard)) / np.pi)
@@ -411,16 +460,83 @@ def bits_of_similarity(jaccard: float, slack: float = 2.5) -> int:
 
 
 def wide_fingerprint(text: Column, words_in_shingle: int = 5, seed: int = 42) -> Column:
-    """struct(w0, w1, ...) of a text column."""
+    """struct(node, w0, w1, ...) of a text column; node is a hash of the set of shingles."""
 
-    @pandas_udf(", ".join(f"w{i} long" for i in range(WIDE)))
+    @pandas_udf("node long, " + ", ".join(f"w{i} long" for i in range(WIDE)))
     def of(texts: pd.Series) -> pd.DataFrame:
-        found = np.array([wide_simhash(x, words_in_shingle, seed) for x in texts], np.uint64).reshape(-1, WIDE)
-        return pd.DataFrame(found.view(np.int64), columns=[f"w{i}" for i in range(WIDE)])
+        sets = [shingle_set(x, words_in_shingle, seed) for x in texts]
+        found = np.array([[xxhash.xxh64_intdigest(h.tobytes(), seed), *_wide_of(h)] for h in sets], np.uint64).reshape(-1, 1 + WIDE)
+        return pd.DataFrame(found.view(np.int64), columns=["node", *[f"w{i}" for i in range(WIDE)]])
+
+    return of(text)
+
+
+def shingle_bytes(text: Column, words_in_shingle: int, seed: int) -> Column:
+    """shingle_set() of a text column, 8 bytes a shingle."""
+
+    @pandas_udf("binary")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(x, words_in_shingle, seed).tobytes() for x in texts], dtype=object)
 
     return of(text)
 
 
+def jaccard_roots(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Root of each set's class, linked by a Jaccard similarity of this or more: breadth first, each set compared only with those of fitting size that no class has yet. No set is empty."""
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], np.int64)
+    flat = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    label, free, mark = np.arange(len(sets)), np.ones(len(sets), bool), np.zeros(int(flat.max()) + 1, np.int64)
+    for seed in range(len(sets)):
+        if not free[seed]:
+            continue
+        free[seed] = False
+        frontier = [seed]
+        while frontier:
+            row = frontier.pop()
+            low, high = np.searchsorted(sizes, similarity * sizes[row] - 1e-6), np.searchsorted(sizes, sizes[row] / similarity + 1e-6, "right")
+            some = low + np.flatnonzero(free[low:high])
+            if not len(some):
+                continue
+            own, n = flat[starts[row] : starts[row] + sizes[row]], sizes[some]
+            begin = np.cumsum(n) - n
+            mark[own] = 1
+            common = np.add.reduceat(mark[flat[np.arange(n.sum()) + np.repeat(starts[some] - begin, n)]], begin)
+            mark[own] = 0
+            new = some[common / (sizes[row] + n - common) >= similarity]
+            free[new] = False
+            label[new] = seed
+            frontier.extend(new.tolist())
+    out = np.empty(len(sets), np.int64)
+    out[order] = order[label]
+    return out
+
+
+def _set_stars(similarity: float):
+    """Links of groups in rows (key, node, shingle bytes) sorted by key and node: (u, v), v the root."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(group: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+            own = {k: np.frombuffer(v, np.uint64) for k, v in group.items() if v}
+            if len(own) > 1:
+                nodes, roots = np.array(list(own), np.int64), jaccard_roots(list(own.values()), similarity)
+                at = np.flatnonzero(roots != np.arange(len(roots)))
+                if len(at):
+                    yield pa.record_batch([pa.array(nodes[at]), pa.array(nodes[roots[at]])], names=["u", "v"])
+
+        last, group = None, {}
+        for batch in batches:
+            for key, node, shingles in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key != last:
+                    yield from links(group)
+                    last, group = key, {}
+                group[node] = shingles
+        yield from links(group)
+
+    return run
+
+
 def _table_keys(seed: int):
     """Rows (node, w0, ...) to TABLES rows (key, node, w0, ...): a key is the table's number and SAMPLED bits."""
     bits = [random.Random(f"{seed}:{t}").sample(range(64 * WIDE), SAMPLED) for t in range(TABLES)]
@@ -438,14 +554,24 @@ def _table_keys(seed: int):
 
 
 def near_copy_classes(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, seed: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(id, node) of each row, and (node, root, component_id) of each distinct fingerprint, for near copies of this similarity."""
+    """(id, node) of each row, and (node, root, component_id) of each distinct set of shingles, for near copies of this similarity.
+
+    Fingerprints propose groups; within each the shingle sets decide, so a link is a Jaccard
+    similarity of this or more. The sets of groups move once, or once a tile where a group is large.
+    """
     w = [f"w{i}" for i in range(WIDE)]
-    prints = docs.select(F.col(id_col).alias("id"), wide_fingerprint(F.col(text_col), words_in_shingle, seed).alias("f")).select("id", "f.*")
-    prints = cut(prints.select("id", F.xxhash64(*w).alias("node"), *w))
-    distinct = cut(prints.groupBy("node").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in w]))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    prints = cut(texts.select("id", "h", wide_fingerprint(F.col("text"), words_in_shingle, seed).alias("f")).select("id", "h", "f.*"))
+    distinct = cut(prints.groupBy("node").agg(F.min("id").alias("least"), F.min(F.struct("h", "id")).alias("one"), *[F.first(c).alias(c) for c in w]))
     kind = "key long, node long, " + ", ".join(f"{c} long" for c in w)
     rows = distinct.select("node", *w).mapInArrow(_table_keys(seed), kind)
-    links = _dealt(rows, "node").mapInArrow(_stars(FIRST, bits_of_similarity(similarity)), "u long, v long")
+    near = cut(components(_dealt(rows, "node").mapInArrow(_stars(bits_of_similarity(similarity, SLACK), wide=True), "u long, v long")))
+    groups = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct())
+    # One row of each set that has others near: by hash of the text and id, so that null ids are no hot key.
+    one = distinct.join(groups, "node").select("node", F.col("root").alias("key"), F.col("one.h").alias("_h"), F.col("one.id").alias("_id"))
+    found = texts.join(one, (texts["h"] == one["_h"]) & texts["id"].eqNullSafe(one["_id"]))
+    sets = stored(found.select("key", "node", shingle_bytes(F.col("text"), words_in_shingle, seed).alias("shingles")), "shingles")
+    links = _dealt(sets, "node", SET_TILE, F.octet_length("shingles") / 8).mapInArrow(_set_stars(similarity), "u long, v long")
     roots = cut(components(links)).withColumnRenamed("node", "linked")
     joined = distinct.join(roots, distinct["node"] == roots["linked"], "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -455,13 +581,12 @@ def near_copy_classes(docs: DataFrame, id_col: str, text_col: str, words_in_shin
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, seed: int = 42, similarity: float = 0.8) -> DataFrame:
     """docs with one row of each group of near copies: the one with the smallest id.
 
-    A radius of 4 in 64 bits sees similarities from about 0.95; here fingerprints have 64 * WIDE bits
-    and are linked within bits_of_similarity. So many bits differ that pigeonhole buckets would hold
-    everything, hence pairs are proposed by TABLES tables of SAMPLED bits: two texts whose shingle
-    sets have a similarity of 0.8 differ in about 15 of 100 bits and share a bucket of some table
-    with a probability of 0.997. Comparison is bit-sliced. Texts without a word are one group.
+    A radius of 4 in 64 bits sees similarities from about 0.95; here fingerprints have 64 * WIDE bits.
+    So many bits differ that pigeonhole buckets would hold everything, hence TABLES tables of SAMPLED
+    bits bring texts together that may be near; the exact similarity of their shingle sets decides.
+    Texts without a word are one group.
 
-    Of rows that share the smallest id one with the smallest fingerprint hash stays, whichever if
+    Of rows that share the smallest id one with the smallest hash of its shingles stays, whichever if
     that ties too. Where a group has null ids only, one of its rows stays. Columns are those of docs.
     """
     prints, classes = near_copy_classes(docs, id_col, text_col, words_in_shingle, seed, similarity)
@@ -476,6 +601,6 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return kept.select("doc.*")
     once = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_anti")
     again = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_semi").withColumn("f", wide_fingerprint(F.col("text"), words_in_shingle, seed))
-    again = again.withColumn("node", F.xxhash64(*[f"f.w{i}" for i in range(WIDE)]))
+    again = again.withColumn("node", F.col("f.node"))
     chosen = again.join(keepers, again["id"].eqNullSafe(keepers["_id"]) & (again["node"] == keepers["_node"]), "left_semi")
     return once.select("doc").unionByName(chosen.dropDuplicates(["id", "node"]).select("doc")).select("doc.*")
