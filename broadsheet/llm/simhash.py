@@ -17,6 +17,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Iterator
 from itertools import combinations
+from math import acos, comb, pi
 
 import numpy as np
 import pandas as pd
@@ -417,7 +418,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 #: Words of a wide fingerprint. It only proposes: tables of sampled bits bring pairs together, those
 #: within SLACK standard deviations of the similarity's bits are compared by their shingles.
-WIDE, TABLES, SAMPLED, SLACK = 4, 40, 12, 2.5
+WIDE, TABLES, SAMPLED, SLACK = 4, 80, 11, 5.5
 #: Shingles of one group that one task compares; larger groups are split in tiles.
 SET_TILE = 1 << 19
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -459,6 +460,14 @@ def bits_of_similarity(jaccard: float, slack: float = 2.5) -> int:
     return int(n * share + slack * np.sqrt(n * share * (1 - share)))
 
 
+def recall(jaccard: float, similarity: float = 0.8) -> float:
+    """Probability that two large sets of this Jaccard similarity and like size are proposed: within the cutoff and together in some table."""
+    n, most = 64 * WIDE, bits_of_similarity(similarity, SLACK)
+    share = acos(2 * jaccard / (1 + jaccard)) / pi
+    met = lambda d: 1 - (1 - comb(n - d, SAMPLED) / comb(n, SAMPLED)) ** TABLES
+    return sum(comb(n, d) * share**d * (1 - share) ** (n - d) * met(d) for d in range(most + 1))
+
+
 def wide_fingerprint(text: Column, words_in_shingle: int = 5, seed: int = 42) -> Column:
     """struct(node, w0, w1, ...) of a text column; node is a hash of the set of shingles."""
 

@@ -49,3 +49,15 @@ def test_tiles_of_a_large_group_lose_no_link(spark, monkeypatch):
     base = words(rng, "en", 200).split()
     rows = [(i, " ".join([*base[:i], f"edit{i}", *base[i + 1 :]])) for i in range(20)] + [(None, " ".join(base))]
     assert S.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+
+
+def test_pairs_at_the_similarity_are_found(spark):
+    rng = random.Random(12)
+    near = [p for p in pairs(rng, 0.895, 500) if jaccard(*p) >= 0.8]
+    assert len(near) == 500 and max(jaccard(*p) for p in near) < 0.82
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(x for p in near for x in p)], "doc_id long, text string")
+    assert S.simhash_dedup(docs).count() == len(near)
+
+
+def test_combined_recall():
+    assert S.recall(0.8) > 0.9997 and S.recall(0.82) > 0.9999
