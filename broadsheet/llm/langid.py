@@ -68,6 +68,17 @@ class Model:
                     out[i] += self.weights[k][g].sum(axis=0) / np.sqrt(len(g))
         return out
 
+    def decisions(self, texts: list[str | None]) -> np.ndarray:
+        """Largest decision value of each text: about 1 in a learned language, 0 or less in none; -inf where predict() says UNKNOWN.
+
+        It doesn't shift with the number of languages, as a share among them does.
+        """
+        told = [i for i, x in enumerate(texts) if x is not None and self.languages and _LETTER.search(x)]
+        out = np.full(len(texts), -np.inf)
+        if told:
+            out[told] = self.scores([texts[i] for i in told]).max(axis=1)
+        return out
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score (0 to 1) of each text; UNKNOWN and 0 for null, no letter or no language learned."""
         told = [i for i, x in enumerate(texts) if x is not None and self.languages and _LETTER.search(x)]
@@ -152,6 +163,19 @@ def predicted(docs: DataFrame, model: Model, text: Column) -> Column:
     return of(text)
 
 
+def decided(docs: DataFrame, model: Model, text: Column) -> Column:
+    """Model.decisions() of a text column."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights.astype(np.float32)))
+
+    @pandas_udf("double")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        here = Model(*shared.value)
+        for texts in batches:
+            yield pd.Series(here.decisions([x if isinstance(x, str) else None for x in texts]), dtype="float64")
+
+    return of(text)
+
+
 def language_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """id, held_out, lang_pred and score of each row; predictions see the text alone.
 
