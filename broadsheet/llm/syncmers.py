@@ -1,9 +1,11 @@
 """Document fingerprints from closed syncmers, in DataFrame operations only.
 
-A text is read as a row of letters: pieces of up to four characters between white space. A window of
-K pieces is a closed syncmer if the least hash of the S-piece windows inside it stands first or last.
-That depends on nothing outside, so equal passages have equal anchors wherever they stand. The
-fingerprint is the sketch of the anchors' hashes: the least SKETCH of them, in hexadecimal digits.
+A text is read as a row of letters. A window of K letters is a closed syncmer if the least hash of
+the S-letter windows inside it stands first or last. That depends on nothing outside, so equal
+passages have equal anchors wherever they stand. Every anchor is kept, with its position; texts are
+matched by positions, and the fingerprint is a digest of all of them.
+
+Letters are pieces of up to four characters between white space.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from broadsheet.llm.common import cut, stored
 
 PIECE = "[^\\x20\\x09-\\x0D]{1,4}"
 K, S = 6, 2
-SKETCH = 48
 
 
 def _short(*of: Column) -> Column:
@@ -23,46 +24,86 @@ def _short(*of: Column) -> Column:
     return F.shiftright(F.xxhash64(*of), 32).cast("int")
 
 
-def syncmer_hashes(text: Column) -> Column:
-    """Hashes (32 bits) of the closed syncmers of a text, sorted and distinct.
+def letters(text: Column) -> Column:
+    """The letters of a text, in order."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0))
+
 
-    A text of fewer than K pieces has one hash, of all its pieces; one without any has none.
+def anchors(text: Column) -> Column:
+    """All closed syncmers of a text as structs (at, h), in order: the number of the first letter, from 0, and a hash of 32 bits.
+
+    A text of fewer than K letters has one, of all its letters; one without any has none.
     """
-    width = K - S  # the inner windows of the K pieces from i on are i .. i + width
+    width = K - S  # the inner windows of the K letters from i on are i .. i + width
+    kind = "array<struct<at:int,h:int>>"
 
     def chosen(h: Column) -> Column:
         def anchor(x: Column, i: Column) -> Column:
             last = F.get(h, i + width)
             closed = last.isNotNull() & (F.least(x, last) <= F.least(*[F.get(h, i + j) for j in range(1, width)]))
-            return F.when(closed, _short(*[F.get(h, i + j) for j in range(0, width + 1, S)]))  # every other inner window covers all pieces
+            return F.when(closed, F.struct(i.alias("at"), _short(*[F.get(h, i + j) for j in range(0, width + 1, S)]).alias("h")))  # every other inner window covers all letters
 
         return F.array_compact(F.transform(h, anchor))
 
     def of(pieces: Column) -> Column:
         inner = F.transform(F.sequence(F.lit(0), F.size(pieces) - S), lambda i: F.xxhash64(*[F.get(pieces, i + j) for j in range(S)]))
         many = F.get(F.transform(F.array(inner), chosen), F.lit(0))
-        few = F.array(_short(F.concat_ws(" ", pieces)))
-        return F.when(F.size(pieces) >= K, F.sort_array(F.array_distinct(many))).when(F.size(pieces) > 0, few).otherwise(F.array().cast("array<int>"))
+        few = F.array(F.struct(F.lit(0).alias("at"), _short(F.concat_ws(" ", pieces)).alias("h")))
+        return F.when(F.size(pieces) >= K, many.cast(kind)).when(F.size(pieces) > 0, few.cast(kind)).otherwise(F.array().cast(kind))
 
     # What a lambda binds is worked out once, so arrays that are used often are walked as an array's only element.
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0))
-    return F.get(F.transform(F.array(pieces), of), F.lit(0))
+    return F.get(F.transform(F.array(letters(text)), of), F.lit(0))
+
+
+def hashes_of(found: Column) -> Column:
+    """Hashes of anchors, sorted and distinct."""
+    return F.sort_array(F.array_distinct(found["h"]))
+
+
+def syncmer_hashes(text: Column) -> Column:
+    """Hashes (32 bits) of the closed syncmers of a text, sorted and distinct."""
+    return hashes_of(anchors(text))
+
+
+def matches(a: Column, b: Column) -> Column:
+    """Positions (at, other) where anchors of a and of b are the same, by a and then b.
 
+    The n-th anchor of a hash in one goes with the n-th in the other. One sort, no pairs are tried.
+    """
+
+    def ranked(found: Column, side: int) -> Column:
+        def numbered(y: Column) -> Column:
+            begins = F.array_compact(F.transform(y, lambda x, i: F.when((i == 0) | (F.get(y, i - 1)["h"] != x["h"]), i)))
+
+            def split(s: Column) -> Column:
+                end = lambda j: F.coalesce(F.get(s, j + 1), F.size(y))
+                one = lambda x, n: F.struct(x["h"].alias("h"), n.alias("n"), F.lit(side).alias("side"), x["at"].alias("at"))
+                return F.flatten(F.transform(s, lambda b, j: F.transform(F.slice(y, b + 1, end(j) - b), one)))
+
+            return F.get(F.transform(F.array(begins), split), F.lit(0))
+
+        by = F.sort_array(F.transform(found, lambda x: F.struct(x["h"].alias("h"), x["at"].alias("at"))))
+        return F.get(F.transform(F.array(by), numbered), F.lit(0))
+
+    def met(all_: Column) -> Column:
+        def pair(x: Column, i: Column) -> Column:
+            next_ = F.get(all_, i + 1)
+            same = (x["side"] == 0) & (next_["side"] == 1) & (next_["h"] == x["h"]) & (next_["n"] == x["n"])
+            return F.when(same, F.struct(x["at"].alias("at"), next_["at"].alias("other")))
 
-def sketch(text: Column) -> Column:
-    return F.slice(syncmer_hashes(text), 1, SKETCH)
+        return F.sort_array(F.array_compact(F.transform(all_, pair)))
 
+    return F.get(F.transform(F.array(F.sort_array(F.concat(ranked(a, 0), ranked(b, 1)))), met), F.lit(0))
 
-def shown(hashes: Column) -> Column:
-    """A sketch as a string, 8 hexadecimal digits a hash."""
-    return F.array_join(F.transform(hashes, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))), 8, "0")), "")
 
+def likeness(a: Column, b: Column, both: Column) -> Column:
+    """Number of matches as a share of all anchors of both texts, by their numbers, matched ones counted once; two texts without an anchor are alike."""
+    return F.when(a + b == 0, F.lit(1.0)).otherwise(both / F.greatest(a + b - both, F.lit(1)))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of the least SKETCH hashes of both texts together that both have; two texts without a hash are alike."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.greatest(F.size(both), F.lit(1)))
+
+def digest(found: Column) -> Column:
+    """SHA-256 of the hashes of all anchors in order, so equal where the texts have equal anchors in equal order."""
+    return F.sha2(F.array_join(found["h"].cast("array<string>"), ","), 256)
 
 
 KEY = ["k", "z", "h"]
@@ -92,7 +133,11 @@ def next_in_order(keys: DataFrame) -> DataFrame:
 
 
 def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every whole text and of its edited text, and their likeness.
+    """Anchors of every whole text, fingerprints of it and of its edited text, and how they match.
+
+    anchors are all of them, with positions. near_edited and near_next are likeness() with the edited
+    and next text; matched_edited and matched_next count the matches, kept_edited those that stand at
+    the same position in the edited text.
 
     The edited text ends in the first floor(n / 4) characters of the next document in ascending
     (doc_id, hash of the text) order instead of its own last ones; after the last comes the first;
@@ -115,19 +160,28 @@ def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     both = own.join(heads, KEY)
     kept = F.left("text", (F.col("n") - F.expr("n div 4")).cast("int"))
 
+    following_names = [f"next_{c}" for c in KEY]
+
     def marked(rows: DataFrame, head: Column, again: Column) -> DataFrame:
         rows = rows.withColumn("edited", F.concat(kept, head))
-        return rows.select(*KEY, "n", again.cast("long").alias("again"), *[f"next_{c}" for c in KEY], F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("text")).alias("sketch"), sketch(F.col("edited")).alias("edited_sketch"))
+        rows = rows.select(*KEY, "n", again.cast("long").alias("again"), *following_names, F.sha2("edited", 256).alias("edited_sha256"), F.array(F.struct(anchors(F.col("text")).alias("a"), anchors(F.col("edited")).alias("b"))).alias("both"))
+
+        def compared(x: Column) -> Column:
+            told = lambda m: F.struct(x["a"].alias("anchors"), digest(x["b"]).alias("digest"), F.size(m).alias("matched"), F.size(F.filter(m, lambda p: p["at"] == p["other"])).alias("kept"), likeness(F.size(x["a"]), F.size(x["b"]), F.size(m)).alias("near"))
+            return F.get(F.transform(F.array(matches(x["a"], x["b"])), told), F.lit(0))
+
+        return rows.withColumn("e", F.get(F.transform("both", compared), F.lit(0))).drop("both").select("*", "e.*").drop("e")
 
     found = marked(both, F.col("head"), F.lit(0))
     if repeats:  # further copies, each followed by its own text
         found = found.unionByName(marked(own.filter("copies > 1").select("*", *following), F.left("text", quarter("n")), F.col("copies") - 1))
     prints = stored(found, "syncmers")
-    other = prints.filter("again = 0").select(*following, F.col("sketch").alias("next_sketch"))
+    other = prints.filter("again = 0").select(*following, F.col("anchors").alias("next_anchors"))
     lined = prints.filter("again = 0").join(other, [f"next_{c}" for c in KEY])
-    columns = [F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", shown(F.col("sketch")).alias("fingerprint"), shown(F.col("edited_sketch")).alias("edited_fingerprint"), likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited")]
-    out = lined.select(*columns, likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+    columns = [F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", "anchors", digest(F.col("anchors")).alias("fingerprint"), F.col("digest").alias("edited_fingerprint"), F.col("near").alias("near_edited"), F.col("matched").alias("matched_edited"), F.col("kept").alias("kept_edited")]
+    lined = lined.withColumn("m", F.size(matches(F.col("anchors"), F.col("next_anchors"))))
+    out = lined.select(*columns, likeness(F.size("anchors"), F.size("next_anchors"), F.col("m")).alias("near_next"), F.col("m").alias("matched_next"))
     if not repeats:
         return out
     copies = prints.filter("again > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("again"))))
-    return out.unionByName(copies.select(*columns, F.lit(1.0).alias("near_next")))
+    return out.unionByName(copies.select(*columns, F.lit(1.0).alias("near_next"), F.size("anchors").alias("matched_next")))
