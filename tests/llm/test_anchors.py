@@ -20,6 +20,14 @@ def test_every_anchor_has_its_position_and_long_texts_keep_all(spark):
     assert len(b) > 30 and len(shifts) == 1
 
 
+def test_a_passage_in_unspaced_text_keeps_its_anchors_when_shifted(spark):
+    passage = "".join(chr(0x4E00 + i * i * 7919 % 20000) for i in range(300))
+    plain, *moved = found(spark, [passage, *["語" * n + passage for n in (1, 2, 3, 4)]])
+    assert len(plain) > 60
+    for n, other in enumerate(moved, 1):
+        assert {(p + n, h) for p, h in plain} <= set(other)
+
+
 def test_matches_pair_the_nth_anchor_with_the_nth(spark):
     texts = [" ".join(f"w{i % 40}q" for i in range(200)), "zz yy xx " + " ".join(f"w{i % 40}q" for i in range(120)), "", "abc"]
     by = found(spark, texts)
