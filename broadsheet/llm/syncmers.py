@@ -175,7 +175,7 @@ def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows = rows.select(*KEY, "n", again.cast("long").alias("again"), *following_names, F.sha2("edited", 256).alias("edited_sha256"), F.array(F.struct(anchors(F.col("text")).alias("a"), anchors(F.col("edited")).alias("b"))).alias("both"))
 
         def compared(x: Column) -> Column:
-            told = lambda m: F.struct(x["a"].alias("anchors"), digest(x["b"]).alias("digest"), F.size(m).alias("matched"), F.size(F.filter(m, lambda p: p["at"] == p["other"])).alias("kept"), likeness(F.size(x["a"]), F.size(x["b"]), F.size(m)).alias("near"))
+            told = lambda m: F.struct(x["a"]["at"].alias("at"), x["a"]["h"].alias("hashes"), digest(x["b"]).alias("digest"), F.size(m).alias("matched"), F.size(F.filter(m, lambda p: p["at"] == p["other"])).alias("kept"), likeness(F.size(x["a"]), F.size(x["b"]), F.size(m)).alias("near"))
             return F.get(F.transform(F.array(matches(x["a"], x["b"])), told), F.lit(0))
 
         return rows.withColumn("e", F.get(F.transform("both", compared), F.lit(0))).drop("both").select("*", "e.*").drop("e")
@@ -184,12 +184,15 @@ def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if repeats:  # further copies, each followed by its own text
         found = found.unionByName(marked(own.filter("copies > 1").select("*", *following), F.left("text", quarter("n")), F.col("copies") - 1))
     prints = stored(found, "syncmers")
-    other = prints.filter("again = 0").select(*following, F.col("anchors").alias("next_anchors"))
+    other = prints.filter("again = 0").select(*following, F.col("hashes").alias("next_hashes"))
     lined = prints.filter("again = 0").join(other, [f"next_{c}" for c in KEY])
-    columns = [F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", "anchors", digest(F.col("anchors")).alias("fingerprint"), F.col("digest").alias("edited_fingerprint"), F.col("near").alias("near_edited"), F.col("matched").alias("matched_edited"), F.col("kept").alias("kept_edited")]
-    lined = lined.withColumn("m", F.size(matches(F.col("anchors"), F.col("next_anchors"))))
-    out = lined.select(*columns, likeness(F.size("anchors"), F.size("next_anchors"), F.col("m")).alias("near_next"), F.col("m").alias("matched_next"))
+    # Positions and hashes go as two arrays of numbers: an array of structs takes four times the bytes.
+    pairs = F.arrays_zip("at", "hashes").cast("array<struct<at:int,h:int>>")
+    numbered = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("h")))
+    columns = [F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", pairs.alias("anchors"), digest(pairs).alias("fingerprint"), F.col("digest").alias("edited_fingerprint"), F.col("near").alias("near_edited"), F.col("matched").alias("matched_edited"), F.col("kept").alias("kept_edited")]
+    lined = lined.withColumn("m", F.size(matches(numbered("hashes"), numbered("next_hashes"))))
+    out = lined.select(*columns, likeness(F.size("hashes"), F.size("next_hashes"), F.col("m")).alias("near_next"), F.col("m").alias("matched_next"))
     if not repeats:
         return out
     copies = prints.filter("again > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("again"))))
-    return out.unionByName(copies.select(*columns, F.lit(1.0).alias("near_next"), F.size("anchors").alias("matched_next")))
+    return out.unionByName(copies.select(*columns, F.lit(1.0).alias("near_next"), F.size("hashes").alias("matched_next")))
