@@ -1,13 +1,13 @@
 """Document fingerprints from closed syncmers, in DataFrame operations only.
 
-A text is read as a row of letters. A window of K letters is a closed syncmer if the least hash of
-the S-letter windows inside it stands first or last. That depends on nothing outside, so equal
-passages have equal anchors wherever they stand. Every anchor is kept, with its position; texts are
+A window of k characters is a closed syncmer if the least hash of the windows of s characters inside
+it stands first or last. That depends on nothing outside, so equal passages have equal anchors
+wherever they stand, in any script, spaced or not. Every anchor is kept, with its position; texts are
 matched by positions, and the fingerprint is a digest of all of them.
 
-Letters are pieces of up to four characters of a run between ASCII white space, and single
-characters of a run of more than RUN: so there is no phase to lose in unspaced text. Only where a
-passage begins or ends inside a run can the letters of that run, up to RUN characters, differ.
+``syncmers`` reads characters and is what the report uses. ``anchors`` reads coarser letters, for
+spaced text at a quarter of the work: pieces of up to four characters of a run between ASCII white
+space, single characters in runs of more than RUN.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import cut, stored
+from broadsheet.llm.common import cut
 
 PIECE = "[^\\x20\\x09-\\x0D]{1,4}"
 #: A run of non-blanks; those of more than RUN characters are read by single ones.
 WHOLE, RUN = "[^\\x20\\x09-\\x0D]+", 16
 LONG = f"[^\\x20\\x09-\\x0D]{{{RUN + 1}}}"
 K, S = 6, 2
+ANCHORS = "array<struct<at:int,h:int>>"
 
 
 def _short(*of: Column) -> Column:
@@ -43,7 +44,7 @@ def anchors(text: Column) -> Column:
     A text of fewer than K letters has one, of all its letters; one without any has none.
     """
     width = K - S  # the inner windows of the K letters from i on are i .. i + width
-    kind = "array<struct<at:int,h:int>>"
+    kind = ANCHORS
 
     def chosen(h: Column) -> Column:
         def anchor(x: Column, i: Column) -> Column:
@@ -114,6 +115,77 @@ def digest(found: Column) -> Column:
     return F.sha2(F.array_join(found["h"].cast("array<string>"), ","), 256)
 
 
+#: Characters of a window and of the windows inside it: about one window in nine is an anchor.
+LONG_K, LONG_S = 24, 6
+#: Windows that are worked out together: what a row holds besides its anchors doesn't follow its text.
+BLOCK = 1 << 14
+
+
+def _closed(text: Column, k: int, s: int) -> Column:
+    """Closed syncmers (at, h) of a text; none if it has fewer than k characters."""
+    width = k - s
+    cut_out = lambda code, at, n: F.substring(code, at * 4 + 1, F.lit(4 * n))
+
+    def all_of(conditions: list[Column]) -> Column:
+        out = conditions[0]
+        for c in conditions[1:]:
+            out = out & c
+        return out
+
+    def block(code: Column, n: Column, begin: Column) -> Column:
+        inner = F.transform(F.sequence(F.lit(0), F.least(n - s - begin, F.lit(BLOCK + width - 1))), lambda i: F.xxhash64(cut_out(code, begin + i, s)))
+
+        def chosen(h: Column) -> Column:
+            def closed(i: Column) -> Column:
+                first, last = F.get(h, i), F.get(h, i + width)
+                # Evaluated up to the first that fails, so by three or so of them.
+                return F.when(first <= last, all_of([first <= F.get(h, i + j) for j in range(1, width)])).otherwise(all_of([last <= F.get(h, i + j) for j in range(width - 1, 0, -1)]))
+
+            at = F.filter(F.sequence(F.lit(0), F.size(h) - width - 1), closed)
+            return F.transform(at, lambda i: F.struct((begin + i).alias("at"), _short(cut_out(code, begin + i, k)).alias("h")))
+
+        return F.get(F.transform(F.array(inner), chosen), F.lit(0))
+
+    def of(code: Column) -> Column:
+        n = (F.octet_length(code) / 4).cast("int")
+        return F.flatten(F.transform(F.sequence(F.lit(0), n - k, F.lit(BLOCK)), lambda begin: block(code, n, begin)))
+
+    found = F.get(F.transform(F.array(F.encode(text, "UTF-32")), of), F.lit(0)).cast(ANCHORS)
+    return F.when(F.length(text) >= k, found).otherwise(F.array().cast(ANCHORS))
+
+
+def _whole(text: Column) -> Column:
+    """The anchor of a text of few characters: all of them; none for an empty text."""
+    return F.when(F.length(text) > 0, F.array(F.struct(F.lit(0).alias("at"), _short(F.encode(text, "UTF-32")).alias("h"))).cast(ANCHORS)).otherwise(F.array().cast(ANCHORS))
+
+
+def syncmers(text: Column, k: int = LONG_K, s: int = LONG_S) -> Column:
+    """All closed syncmers of a text's characters as structs (at, h), in order: the number of the first character, from 0, and a hash of 32 bits.
+
+    Gaps between them are k - s characters at most. A text of fewer than k characters has one, of all
+    of them; a null or empty one has none.
+    """
+    text = F.coalesce(text, F.lit(""))
+    return F.when(F.length(text) >= k, _closed(text, k, s)).otherwise(_whole(text))
+
+
+def syncmers_of_edit(own: Column, kept: Column, edited: Column, k: int = LONG_K, s: int = LONG_S) -> Column:
+    """struct(lead, rest): syncmers of a text whose first ``kept`` characters are those of a text with the syncmers ``own``.
+
+    What lies in the kept part needs no second look: lead counts those, the first ones of own; rest
+    are the others.
+    """
+    lead = F.when(F.length(edited) >= k, F.size(F.filter(own, lambda x: x["at"] + k <= kept))).otherwise(0)
+    begin = F.greatest(kept - k + 1, F.lit(0))
+    rest = F.transform(_closed(F.substring(edited, begin + 1, F.length(edited)), k, s), lambda x: F.struct((x["at"] + begin).alias("at"), x["h"].alias("h")))
+    return F.struct(lead.alias("lead"), F.when(F.length(edited) >= k, rest).otherwise(_whole(edited)).alias("rest"))
+
+
+def bound(value: Column, of) -> Column:
+    """of(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 KEY = ["k", "z", "h"]
 
 
@@ -150,8 +222,9 @@ def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     The edited text ends in the first floor(n / 4) characters of the next document in ascending
     (doc_id, hash of the text) order instead of its own last ones; after the last comes the first;
     null ids come first. A null text is empty. Rows that repeat id and text are one document in the
-    order: all but one of them are followed by their own copy. Texts move once, by a key that only
-    such rows share. An empty table gives no rows.
+    order: all but one of them are followed by their own copy. A text moves once, by a key that only
+    such rows share, and to the row before it its first quarter and its anchors' hashes. An empty
+    table gives no rows.
     """
     doc = F.col(id_col).cast("long")
     texts = docs.select(F.coalesce(doc, F.lit(0).cast("long")).alias("k"), doc.isNotNull().cast("int").alias("z"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
@@ -163,36 +236,45 @@ def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # The texts' shuffle, by KEY, serves both sides of the second join.
     own = texts.join(ordered, KEY).select(*KEY, "text", "copies", "n", "before")
     quarter = lambda n: F.expr(f"cast({n} div 4 as int)")
-    following = [F.col(c).alias(f"next_{c}") for c in KEY]
-    heads = own.select(*[F.col(f"before.{c}").alias(c) for c in KEY], *following, F.left("text", quarter("before.n")).alias("head"))
+    heads = own.select(*[F.col(f"before.{c}").alias(c) for c in KEY], F.left("text", quarter("before.n")).alias("head"), syncmers(F.col("text"))["h"].alias("next_hashes"))
     both = own.join(heads, KEY)
-    kept = F.left("text", (F.col("n") - F.expr("n div 4")).cast("int"))
-
-    following_names = [f"next_{c}" for c in KEY]
-
-    def marked(rows: DataFrame, head: Column, again: Column) -> DataFrame:
-        rows = rows.withColumn("edited", F.concat(kept, head))
-        rows = rows.select(*KEY, "n", again.cast("long").alias("again"), *following_names, F.sha2("edited", 256).alias("edited_sha256"), F.array(F.struct(anchors(F.col("text")).alias("a"), anchors(F.col("edited")).alias("b"))).alias("both"))
-
-        def compared(x: Column) -> Column:
-            told = lambda m: F.struct(x["a"]["at"].alias("at"), x["a"]["h"].alias("hashes"), digest(x["b"]).alias("digest"), F.size(m).alias("matched"), F.size(F.filter(m, lambda p: p["at"] == p["other"])).alias("kept"), likeness(F.size(x["a"]), F.size(x["b"]), F.size(m)).alias("near"))
-            return F.get(F.transform(F.array(matches(x["a"], x["b"])), told), F.lit(0))
-
-        return rows.withColumn("e", F.get(F.transform("both", compared), F.lit(0))).drop("both").select("*", "e.*").drop("e")
-
-    found = marked(both, F.col("head"), F.lit(0))
-    if repeats:  # further copies, each followed by its own text
-        found = found.unionByName(marked(own.filter("copies > 1").select("*", *following), F.left("text", quarter("n")), F.col("copies") - 1))
-    prints = stored(found, "syncmers")
-    other = prints.filter("again = 0").select(*following, F.col("hashes").alias("next_hashes"))
-    lined = prints.filter("again = 0").join(other, [f"next_{c}" for c in KEY])
-    # Positions and hashes go as two arrays of numbers: an array of structs takes four times the bytes.
-    pairs = F.arrays_zip("at", "hashes").cast("array<struct<at:int,h:int>>")
     numbered = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("h")))
-    columns = [F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", pairs.alias("anchors"), digest(pairs).alias("fingerprint"), F.col("digest").alias("edited_fingerprint"), F.col("near").alias("near_edited"), F.col("matched").alias("matched_edited"), F.col("kept").alias("kept_edited")]
-    lined = lined.withColumn("m", F.size(matches(numbered("hashes"), numbered("next_hashes"))))
-    out = lined.select(*columns, likeness(F.size("hashes"), F.size("next_hashes"), F.col("m")).alias("near_next"), F.col("m").alias("matched_next"))
+
+    def lined(rows: DataFrame, next_hashes: Column | None) -> DataFrame:
+        """rows: KEY, n, text and head."""
+        kept = (F.col("n") - F.expr("n div 4")).cast("int")
+        rows = rows.withColumn("edited", F.concat(F.left("text", kept), "head"))
+
+        def compared(a: Column) -> Column:
+            def with_rest(e: Column) -> Column:
+                def told(m: Column) -> Column:
+                    matched, total = e["lead"] + F.size(m), e["lead"] + F.size(e["rest"])
+                    return F.struct(
+                        a.alias("anchors"),
+                        digest(a).alias("fingerprint"),
+                        digest(F.concat(F.slice(a, F.lit(1), e["lead"]), e["rest"])).alias("edited_fingerprint"),
+                        likeness(F.size(a), total, matched).alias("near_edited"),
+                        matched.alias("matched_edited"),
+                        (e["lead"] + F.size(F.filter(m, lambda p: p["at"] == p["other"]))).alias("kept_edited"),
+                    )
+
+                return bound(matches(F.slice(a, e["lead"] + 1, F.size(a)), e["rest"]), told)
+
+            return bound(syncmers_of_edit(a, kept, F.col("edited")), with_rest)
+
+        rows = rows.withColumn("e", bound(syncmers(F.col("text")), compared))
+        rows = rows.select(F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "e", *([next_hashes.alias("next_hashes")] if next_hashes is not None else []), *([] if next_hashes is not None else ["copies"]))
+        size = F.size("e.anchors")
+        if next_hashes is None:
+            return rows.select(id_col, "n_chars", "edited_sha256", "e.*", F.lit(1.0).alias("near_next"), size.alias("matched_next"), "copies")
+        m = F.size(matches(numbered(F.col("e.anchors.h")), numbered(F.col("next_hashes"))))
+        rows = rows.withColumn("m", m)
+        return rows.select(id_col, "n_chars", "edited_sha256", "e.*", likeness(size, F.size("next_hashes"), F.col("m")).alias("near_next"), F.col("m").alias("matched_next"))
+
+    out = lined(both, F.col("next_hashes"))
     if not repeats:
         return out
-    copies = prints.filter("again > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("again"))))
-    return out.unionByName(copies.select(*columns, F.lit(1.0).alias("near_next"), F.size("hashes").alias("matched_next")))
+    # Further copies, each followed by its own text.
+    more = lined(own.filter("copies > 1").withColumn("head", F.left("text", quarter("n"))), None)
+    copies = more.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies") - 1)))
+    return out.unionByName(copies.select(*out.columns))
