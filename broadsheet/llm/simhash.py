@@ -152,16 +152,26 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the classes of rows a and b; label holds each row's smallest row, before and after."""
+    a, b = label[a], label[b]
+    apart = a != b
+    if apart.any():
+        label[:] = _roots(len(label), a[apart], b[apart])[label]
+
+
 #: Tells which proposed pairs of rows are links.
 Check = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def _small_groups(fps: np.ndarray, end: np.ndarray, radius: int, check: Check | None = None) -> np.ndarray:
-    """Roots for rows in groups; end[i] is where row i's group ends. Groups have at most SMALL rows."""
-    planes, rows = _planes(fps), np.arange(len(fps))
+    """Roots for rows in groups; end[i] is where row i's group ends. Groups have at most SMALL rows.
+
+    Links are folded into classes as they are found, so what is held follows the rows, not the pairs.
+    """
+    planes, rows, label = _planes(fps), np.arange(len(fps)), np.arange(len(fps))
     first, last = (rows + 1) // 64, (end - 1) // 64
     count = np.where(end > rows + 1, last - first + 1, 0)
-    found_a, found_b = [], []
     begin = 0
     total = np.cumsum(count)
     while begin < len(fps):
@@ -172,14 +182,14 @@ def _small_groups(fps: np.ndarray, end: np.ndarray, radius: int, check: Check |
         at, near = _within(planes, fps[query], word, _lanes_between(word, query + 1, end[query]), radius)
         for lane in range(64):
             hit = np.flatnonzero(near >> np.uint64(lane) & _ONE)
-            if len(hit):
-                one, two = query[at[hit]], 64 * word[at[hit]] + lane
+            one, two = query[at[hit]], 64 * word[at[hit]] + lane
+            apart = label[one] != label[two]
+            one, two = one[apart], two[apart]
+            if len(one):
                 linked = check(one, two) if check else slice(None)
-                found_a.append(one[linked])
-                found_b.append(two[linked])
+                _unite(label, one[linked], two[linked])
         begin = stop
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
-    return _roots(len(fps), a, b)
+    return label
 
 
 def _large_group(fps: np.ndarray, radius: int, check: Check | None = None) -> np.ndarray:
@@ -265,22 +275,23 @@ def _wide_large(words: np.ndarray, most: int) -> np.ndarray:
 
 
 def wide_group_roots(keys: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
-    """Like group_roots, for rows of several words: links are all pairs of a group that differ in ``most`` bits at most."""
+    """Like group_roots, for rows of several words: links are all pairs of a group that differ in ``most`` bits at most.
+
+    Rows of small groups are compared at one distance after another; those already in one class no more.
+    """
     if not len(keys):
         return np.zeros(0, np.int64)
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([begins, [len(keys)]]))
     ends = np.repeat(begins + np.where(sizes <= SMALL, sizes, 0), sizes)
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    rows = np.arange(len(keys))
+    rows, out = np.arange(len(keys)), np.arange(len(keys))
     for step in range(1, SMALL):
         rows = rows[ends[rows] > rows + step]
         if not len(rows):
             break
-        one = rows[np.bitwise_count(words[rows] ^ words[rows + step]).sum(axis=1, dtype=np.int64) <= most]
-        found_a.append(one)
-        found_b.append(one + step)
-    out = _roots(len(keys), np.concatenate(found_a), np.concatenate(found_b))
+        one = rows[out[rows] != out[rows + step]]
+        one = one[np.bitwise_count(words[one] ^ words[one + step]).sum(axis=1, dtype=np.int64) <= most]
+        _unite(out, one, one + step)
     for begin, size in zip(begins[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
         out[begin : begin + size] = begin + _wide_large(words[begin : begin + size], most)
     return out
