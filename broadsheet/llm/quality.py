@@ -1,10 +1,18 @@
 """Quality rules: plain limits on words and repeats, then robust multivariate outliers.
 
 For each language and source the minimum covariance determinant (MCD) of a vector of transformed
-text statistics is estimated over all its documents: from coordinate-wise medians and quartiles,
-concentration steps take those SHARE of the rows that lie nearest, and set centre and covariance
-anew from them. A document is rejected if its squared Mahalanobis distance exceeds a quantile of the
-chi-squared distribution.
+text statistics is estimated over all its documents, by deterministic starts: from coordinate-wise
+medians and quartiles come three shapes (uncorrelated; the correlation of hyperbolic tangents; that
+of spatial signs). Concentration steps take those SHARE of the rows that lie nearest, and set centre
+and covariance anew from them. After two steps from each start the least determinant goes on, until
+no step makes it smaller.
+
+Estimates of a group, of its language and of all rows are blended: a group of n rows weighs
+n / (n + OF_LANGUAGE) against its language, a language n / (n + OF_ALL) against all rows. So the
+estimate changes smoothly with n, and no number of rows switches the method. Languages differ by
+nature, so how far a language's centre is from the others' widens its covariance; a source's doesn't,
+else a source of a few junk rows would pass for a kind of its own. A document is rejected if its squared Mahalanobis distance exceeds a quantile of the chi-squared
+distribution.
 
 Everything is counted over all rows by partial aggregates. Vectors are rounded to 1/SCALE and
 distances ranked by fine steps of their logarithm, so that sums and ranks are whole numbers and do
@@ -26,21 +34,25 @@ from broadsheet.llm.textstats import text_stats
 
 SCALE = 512
 SHARE = 0.75
-STEPS = 4
-#: Groups of fewer rows join the other small ones of their language, and small languages each other.
-LEAST_ROWS = 200
-#: With fewer rows nothing is rejected for its distance.
-LEAST_TO_JUDGE = 20
+#: Rows that the estimate of a language counts for beside those of one of its sources, and that of
+#: all rows beside a language's. The latter is below CUTOFF: so a language's own centre is always kept.
+OF_LANGUAGE, OF_ALL = 100, 25
+#: A step that lowers the logarithm of the determinant by less is none.
+LEAST_FALL = 1e-9
 #: Chi-squared, 6 degrees of freedom: the quantile that one in ten thousand exceeds, and those
 #: that make the covariance of the nearest SHARE consistent: the SHARE quantile, and what share of
 #: 8 degrees of freedom lies below it.
 CUTOFF, INNER, INNER_SHARE = 27.86, 7.841, 0.5508
-#: Standard deviation that each coordinate is taken to have at least.
+#: Standard deviation that each coordinate is taken to have at least; and the least eigenvalue in
+#: these units, for groups of few rows.
 FLOORS = (1.0, 0.08, 0.05, 0.05, 0.2, 0.2)
+LEAST_EIGENVALUE = 0.05
+#: Values of the starts' shapes are rounded to 1/SHAPE.
+SHAPE = 4096
 DIMS = len(FLOORS)
 X = [f"x{i}" for i in range(DIMS)]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_lines"]
-FINE = 16  # steps of a distance's binary logarithm
+FINE = 64  # steps of a distance's binary logarithm
 
 
 def stats(text: Column) -> Column:
@@ -71,19 +83,18 @@ def vector(s: str = "") -> list[Column]:
     return [F.expr(f"cast(round({SCALE} * ({e})) as long)").alias(x) for e, x in zip(exprs, X, strict=True)]
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
-    """(lang, source, g) for each pair of rows: g names the group that its estimate comes from."""
-    pairs = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    quoted = F.to_json(F.struct("lang", "source"))
-    small = F.col("n") < LEAST_ROWS
-    of_lang = Window.partitionBy("lang")
-    named = pairs.withColumn("small_n", F.sum(F.when(small, F.col("n")).otherwise(0)).over(of_lang))
-    g = F.when(~small, F.concat(F.lit("s"), quoted)).when(F.col("small_n") >= LEAST_ROWS, F.concat(F.lit("l"), F.to_json(F.struct("lang")))).otherwise(F.lit("rest"))
-    return named.select("lang", "source", g.alias("g"))
+def covariance(cov: np.ndarray) -> np.ndarray:
+    """A covariance with the floors: on the diagonal, and on eigenvalues in the floors' units."""
+    floors = np.array(FLOORS)
+    cov = cov + np.diag(np.maximum(0, floors**2 - np.diag(cov)))
+    values, vectors = np.linalg.eigh(cov / np.outer(floors, floors))
+    if values[0] >= LEAST_EIGENVALUE:
+        return cov
+    return (vectors * np.maximum(values, LEAST_EIGENVALUE)) @ vectors.T * np.outer(floors, floors)
 
 
-def _solve(sums: DataFrame) -> DataFrame:
-    """(g, params): centre and inverse covariance (row by row) of sums by group."""
+def _solve(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, params, logdet): centre and inverse covariance (row by row) of sums by group, and the logarithm of its determinant."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -92,13 +103,12 @@ def _solve(sums: DataFrame) -> DataFrame:
                 n = row["n"]
                 mean = np.array([float(row[f"s{i}"]) for i in range(DIMS)]) / n
                 cov = np.array([[float(row[f"s{min(i, j)}_{max(i, j)}"]) for j in range(DIMS)] for i in range(DIMS)]) / n - np.outer(mean, mean)
-                cov = cov / SCALE**2 * (SHARE / INNER_SHARE)
-                lift = np.maximum(0, np.array(FLOORS) ** 2 - np.diag(cov))
-                inverse = np.linalg.inv(cov + np.diag(lift))
-                out.append((row["g"], [*(mean / SCALE), *inverse.ravel()]))
-            yield pd.DataFrame(out, columns=["g", "params"])
+                cov = covariance(cov / SCALE**2 * (SHARE / INNER_SHARE))
+                out.append((*[row[k] for k in keys], [*(mean / SCALE), *np.linalg.inv(cov).ravel()], float(np.linalg.slogdet(cov)[1])))
+            yield pd.DataFrame(out, columns=[*keys, "params", "logdet"])
 
-    return sums.mapInPandas(run, "g string, params array<double>")
+    kinds = ", ".join(f"{k} {sums.schema[k].dataType.simpleString()}" for k in keys)
+    return sums.mapInPandas(run, f"{kinds}, params array<double>, logdet double")
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -115,6 +125,38 @@ def _start(rows: DataFrame) -> DataFrame:
     return each.select("g", F.concat(F.transform("x", lambda r: r["m"]), inverse).alias("params"))
 
 
+def _shapes(rows: DataFrame, start: DataFrame) -> DataFrame:
+    """(g, start, params) of three starts: that of start, uncorrelated, and two correlations with the same centre and scales.
+
+    z is a row's distance from the median in robust deviations, coordinate by coordinate. tanh(z) bounds
+    what one row can do to its correlation, z / |z| what it can do by being far.
+    """
+    z = rows.join(start, "g").select("g", *[F.expr(f"(x{i} / {float(SCALE)} - params[{i}]) * sqrt(params[{DIMS + DIMS * i + i}])").alias(f"z{i}") for i in range(DIMS)])
+    norm = "greatest(sqrt(" + " + ".join(f"z{i} * z{i}" for i in range(DIMS)) + "), 1e-9D)"
+    whole = [F.expr(f"cast(round({SHAPE} * {e}) as long)").alias(f"{k}{i}") for i in range(DIMS) for k, e in (("t", f"tanh(z{i})"), ("u", f"z{i} / {norm}"))]
+    sums = [F.sum(f"{k}{i}").alias(f"{k}s{i}") for k in "tu" for i in range(DIMS)]
+    products = [F.sum(F.expr(f"{k}{i} * {k}{j}")).alias(f"{k}s{i}_{j}") for k in "tu" for i in range(DIMS) for j in range(i, DIMS)]
+    shaped = z.select("g", *whole).groupBy("g").agg(F.count(F.lit(1)).alias("n"), *sums, *products).join(start, "g")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for row in f.to_dict("records"):
+                params = np.array(row["params"])
+                spread = 1 / np.sqrt(np.diag(params[DIMS:].reshape(DIMS, DIMS)))
+                out.append((row["g"], 0, params.tolist()))
+                for number, k in enumerate("tu", 1):
+                    mean = np.array([float(row[f"{k}s{i}"]) for i in range(DIMS)]) / row["n"]
+                    cov = np.array([[float(row[f"{k}s{min(i, j)}_{max(i, j)}"]) for j in range(DIMS)] for i in range(DIMS)]) / row["n"] - np.outer(mean, mean)
+                    deviation = np.sqrt(np.maximum(np.diag(cov), 1.0))
+                    shape = cov / np.outer(deviation, deviation)
+                    np.fill_diagonal(shape, 1.0)
+                    out.append((row["g"], number, [*params[:DIMS], *np.linalg.inv(covariance(shape * np.outer(spread, spread))).ravel()]))
+            yield pd.DataFrame(out, columns=["g", "start", "params"])
+
+    return shaped.mapInPandas(run, "g string, start int, params array<double>")
+
+
 def distance(params: str = "params") -> Column:
     """Squared Mahalanobis distance of x0, x1, ... from params."""
     off = [f"(x{i} / {float(SCALE)} - {params}[{i}])" for i in range(DIMS)]
@@ -123,33 +165,75 @@ def distance(params: str = "params") -> Column:
 
 
 def _step(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """One concentration step: params of the nearest SHARE of each group."""
-    ranked = rows.join(params, "g").withColumn("bin", F.floor(FINE * F.log2(F.greatest(distance(), F.lit(1e-6)))))
-    counts = ranked.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"))
-    of = Window.partitionBy("g")
+    """One concentration step: (g, params, logdet) of the nearest SHARE of each group, for each row of params; a column start is kept."""
+    keys = [k for k in ("g", "start") if k in params.columns]
+    ranked = rows.join(params.select(*keys, "params"), "g").withColumn("bin", F.floor(FINE * F.log2(F.greatest(distance(), F.lit(1e-6)))))
+    counts = ranked.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    of = Window.partitionBy(*keys)
+    # As many rows as a distance has steps, whatever the table.
     upto = counts.withColumn("upto", F.sum("n").over(of.orderBy("bin"))).withColumn("all", F.sum("n").over(of))
-    limits = stored(upto.filter(F.col("upto") >= F.ceil(SHARE * F.col("all"))).groupBy("g").agg(F.min("bin").alias("limit")), "mcd-limits")
-    near = ranked.join(limits, "g").filter("bin <= limit")
+    limits = stored(upto.filter(F.col("upto") >= F.ceil(SHARE * F.col("all"))).groupBy(*keys).agg(F.min("bin").alias("limit")), "mcd-limits")
+    near = ranked.join(limits, keys).filter("bin <= limit")
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)]
     products = [F.sum(F.expr(f"x{i} * x{j}")).alias(f"s{i}_{j}") for i in range(DIMS) for j in range(i, DIMS)]
-    moments = near.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *sums, *products)
-    return stored(_solve(moments), "mcd-params")
+    moments = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums, *products)
+    return stored(_solve(moments, keys), "mcd-params")
+
+
+def minimum_determinants(rows: DataFrame) -> DataFrame:
+    """(g, params, logdet) of rows with g and x0, x1, ...: the least determinant found, and its centre and inverse covariance."""
+    params = stored(_shapes(rows, stored(_start(rows), "mcd-params")), "mcd-params")
+    for _ in range(2):
+        params = _step(rows, params)
+    best = params.groupBy("g").agg(F.min(F.struct(F.col("logdet"), F.col("start"), F.col("params"))).alias("b"))
+    best = stored(best.select("g", "b.params", "b.logdet"), "mcd-params")
+    ended, falling = [], best
+    while not falling.isEmpty():
+        after = _step(rows, falling).withColumnsRenamed({"params": "_params", "logdet": "_logdet"})
+        both = stored(falling.join(after, "g").withColumn("falls", F.col("_logdet") < F.col("logdet") - LEAST_FALL), "mcd-params")
+        ended.append(both.filter("not falls").select("g", "params", "logdet"))
+        falling = both.filter("falls").select("g", F.col("_params").alias("params"), F.col("_logdet").alias("logdet"))
+    out = ended[0] if ended else best
+    for more in ended[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def blend(n: float, centre: np.ndarray, cov: np.ndarray, outer: tuple[np.ndarray, np.ndarray], prior: float, apart: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and covariance of n rows' estimate with that of prior rows outside; apart: with the covariance of the two centres, as a mixture has."""
+    w, way = n / (n + prior), centre - outer[0]
+    return w * centre + (1 - w) * outer[0], w * cov + (1 - w) * outer[1] + (w * (1 - w) * np.outer(way, way) if apart else 0)
+
+
+def blended(parts: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and covariance that a group is judged by, from (rows, centre, covariance) of all rows, its language and itself."""
+    (n, centre, cov), language, own = parts
+    return blend(*own, blend(*language, (centre, cov * (1 + OF_ALL / n)), OF_ALL, True), OF_LANGUAGE, False)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """(lang, source, params) of rows with lang, source and x0, x1, ...; params is null where too few rows are to be had.
+    """(lang, source, params) of rows with lang, source and x0, x1, ...: a small table, a row for each pair of language and source."""
+    quoted = lambda kind, *c: F.concat(F.lit(kind), F.to_json(F.struct(*c), {"ignoreNullFields": "false"}))
+    named = rows.select("lang", "source", *X, F.array(F.lit("a"), quoted("l", "lang"), quoted("s", "lang", "source")).alias("gs"))
+    own = stored(named.select(F.explode("gs").alias("g"), *X), "mcd-rows")
+    pairs = stored(named.groupBy("lang", "source", "gs").agg(F.count(F.lit(1)).alias("n")), "mcd-groups")
+    found = own.groupBy("g").agg(F.count(F.lit(1)).alias("n")).join(minimum_determinants(own), "g")
+    found = stored(found.select("g", "n", "params"), "mcd-found")
+    wide = pairs.select("lang", "source", "gs")
+    for i in range(3):
+        wide = wide.join(found.select(F.col("g").alias(f"g{i}"), F.col("n").alias(f"n{i}"), F.col("params").alias(f"p{i}")), F.col("gs")[i] == F.col(f"g{i}"))
 
-    Small tables both: a row for each pair of language and source.
-    """
-    pairs = stored(_grouped(rows), "mcd-groups")
-    named = pairs.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    own = stored(rows.join(named, rows["lang"].eqNullSafe(F.col("_lang")) & rows["source"].eqNullSafe(F.col("_source"))).select("g", *X), "mcd-rows")
-    enough = stored(own.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_TO_JUDGE).select("g"), "mcd-enough")
-    judged = own.join(enough, "g", "left_semi")
-    params = stored(_start(judged), "mcd-params")
-    for _ in range(STEPS):
-        params = _step(judged, params)
-    return stored(pairs.join(params, "g", "left").select("lang", "source", "params"), "mcd-estimates")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for row in f.to_dict("records"):
+                params = [np.array(row[f"p{i}"]) for i in range(3)]
+                centre, cov = blended([(row[f"n{i}"], p[:DIMS], np.linalg.inv(p[DIMS:].reshape(DIMS, DIMS))) for i, p in enumerate(params)])
+                out.append((row["lang"], row["source"], [*centre, *np.linalg.inv(cov).ravel()]))
+            yield pd.DataFrame(out, columns=["lang", "source", "params"])
+
+    rows = wide.select("lang", "source", *[f"{c}{i}" for c in "np" for i in range(3)]).mapInPandas(run, "lang string, source string, params array<double>")
+    return stored(rows, "mcd-estimates")
 
 
 def _labelled(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> tuple[Column, Column, Column]:
@@ -180,13 +264,10 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The rows of docs that quality_report keeps, with the columns of docs.
 
-    Statistics are worked out twice, for the estimates and for the verdicts, so that no text is
-    written or moved; the verdicts need only a small table of estimates.
+    Rows that pass the base limits are written with their statistics, so no text is read twice and
+    none is moved; the verdicts need only a small table of estimates.
     """
     lang, source, s = _labelled(docs, lang_col, source_col, text_col)
-    light = docs.select(lang.alias("lang"), source.alias("source"), s.alias("s")).select("lang", "source", "s.*")
-    light = light.filter(~base_failed()).select("lang", "source", *vector())
-    found = estimates(stored(light, "quality-stats"))
-    rows = wrapped(docs, lang=lang, source=source, s=s)
-    rows = rows.filter(~base_failed("s.")).select("doc", "lang", "source", F.lit(False).alias("base_failed"), *vector("s."))
-    return _verdicts(rows, found).filter("kept").select("doc.*")
+    rows = wrapped(docs, lang=lang, source=source, s=s).filter(~base_failed("s."))
+    rows = stored(rows.select("doc", "lang", "source", F.lit(False).alias("base_failed"), *vector("s.")), "quality-stats")
+    return _verdicts(rows, estimates(rows)).filter("kept").select("doc.*")
