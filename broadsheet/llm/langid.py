@@ -3,20 +3,20 @@
 The kernel of two texts is the blended spectrum presence kernel: over n = 1 to 4, the number of
 n-grams that both contain, scaled by the numbers each contains, and averaged. Landmarks give its
 Nyström feature map; kernel ridge regression, one language against the rest, gives the weights.
-A batch is scored by matrix products: presence of hashed n-grams times landmarks' presence is the
-kernel, kernel times weights the decision values. Both products are linear, so the second is
-multiplied out first and a text's n-grams pick rows of the result.
+A batch is scored by matrix products: its sparse matrix of hashed n-grams' presence times the
+landmarks' presence is the kernel, kernel times weights the decision values. Both products are
+linear, so landmarks and weights are multiplied out once, in the fit, and a batch is one sparse
+product for each n.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -26,13 +26,17 @@ BITS = 16
 #: Labelled rows that the model is fitted on, for each language; chosen by a hash of their id, so the
 #: same at any size of the table. Their texts are read whole.
 SAMPLE = 500
-LANDMARKS = 96
+#: Landmarks of each language.
+LANDMARKS = 24
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: Languages are labels; their counts and shares are broadcast, so there must not be more.
 MOST_LANGUAGES = 2000
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A code point of category L, as in training.
+_LETTER = regex.compile(r"\p{L}")
+#: Numbers that a product of a batch holds at a time.
+PRODUCT = 1 << 22
 
 
 def grams(text: str) -> list[np.ndarray]:
@@ -52,6 +56,13 @@ def grams(text: str) -> list[np.ndarray]:
     return out
 
 
+def sparse_product(rows: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """Rows of a 0/1 matrix, each as its columns that are 1 and scaled by the root of their number, times weights. No row is empty."""
+    sizes = np.array([len(x) for x in rows])
+    sums = np.add.reduceat(weights[np.concatenate(rows)], np.cumsum(sizes) - sizes, axis=0)
+    return sums / np.sqrt(sizes)[:, None].astype(np.float32)
+
+
 @dataclass
 class Model:
     """languages in order, and the decision values' weights: n-gram length, hash, language."""
@@ -60,12 +71,19 @@ class Model:
     weights: np.ndarray
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """Decision values of a batch."""
+        """Decision values of a batch: a product of its sparse matrix of presence with the weights for each n."""
         out = np.zeros((len(texts), len(self.languages)), np.float32)
-        for i, text in enumerate(texts):
-            for k, g in enumerate(grams(text)):
-                if len(g):
-                    out[i] += self.weights[k][g].sum(axis=0) / np.sqrt(len(g))
+        found = [grams(x) for x in texts]
+        for k in range(len(LENGTHS)):
+            held, size = [], 0
+            for i in range(len(found) + 1):
+                n = len(found[i][k]) if i < len(found) else 0
+                if held and (i == len(found) or (size + n) * len(self.languages) > PRODUCT):
+                    out[held] += sparse_product([found[j][k] for j in held], self.weights[k])
+                    held, size = [], 0
+                if n:
+                    held.append(i)
+                    size += n
         return out
 
     def decisions(self, texts: list[str | None]) -> np.ndarray:
@@ -93,19 +111,23 @@ class Model:
 
 
 def fit(texts: list[str], languages: list[str]) -> Model:
-    """Nyström features on landmarks of each language in turn, ridge regression of -1 and 1."""
+    """Nyström features on LANDMARKS texts of each language, ridge regression of -1 and 1."""
+    return fit_grams([grams(x) for x in texts], languages)
+
+
+def fit_grams(found: list[list[np.ndarray]], languages: list[str]) -> Model:
+    """fit() from the texts' grams()."""
     names = sorted(set(languages))
     if not names:
         return Model([], np.zeros((len(LENGTHS), 1 << BITS, 0), np.float32))
-    found = [grams(x) for x in texts]
     by_language = [[i for i, y in enumerate(languages) if y == name] for name in names]
-    rows = [g[k] for k in range(max(map(len, by_language))) for g in by_language if k < len(g)][:LANDMARKS]
+    rows = [i for g in by_language for i in g[:LANDMARKS]]
     presence = np.zeros((len(LENGTHS), 1 << BITS, len(rows)), np.float32)
     for j, i in enumerate(rows):
         for k, g in enumerate(found[i]):
             if len(g):
                 presence[k, g, j] = 1 / (len(LENGTHS) * np.sqrt(len(g)))
-    kernel = np.zeros((len(texts), len(rows)))
+    kernel = np.zeros((len(found), len(rows)))
     for i, gs in enumerate(found):
         for k, g in enumerate(gs):
             if len(g):
@@ -117,7 +139,7 @@ def fit(texts: list[str], languages: list[str]) -> Model:
     target = np.where(np.array(languages)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     # Each language counts alike, however many rows it has.
     weight = np.array([1 / languages.count(y) for y in languages])[:, None]
-    gram = features.T @ (weight * features) + RIDGE * np.eye(features.shape[1]) / len(texts)
+    gram = features.T @ (weight * features) + RIDGE * np.eye(features.shape[1]) / len(found)
     ridge = np.linalg.solve(gram, features.T @ (weight * target))
     return Model(names, np.einsum("kdj,jc->kdc", presence, (root @ ridge).astype(np.float32)))
 
@@ -130,9 +152,9 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Fits on at most ``sample`` rows a language of those that aren't held out and have a language and a text.
 
-    The smallest hashes of the id are taken: first among light rows, by partial aggregates of at
-    most ``sample`` a group of hashes; then the texts of those rows are read. Languages are labels:
-    what comes to the driver is at most sample rows for each.
+    The smallest hashes of the id are taken. Whole texts are read where they are; what comes to the
+    driver is the numbers of their n-grams' hashes, so at most 2 bytes for each of 4 * 65,536 of
+    ``sample`` rows a language, however long a text is.
     """
     from pyspark.sql import Window
 
@@ -146,8 +168,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     near = near.filter(F.col(text_col).rlike("\\p{L}")).filter(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / float(1 << 32) <= F.col("share"))
     ranked = near.selectExpr(f"`{lang_col}` as lang", f"`{text_col}` as text", "_h")
     top = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text"))).filter(F.col("_n") <= sample)
-    taken = sorted((r["lang"], r["_h"], r["text"]) for r in top.select("lang", "_h", "text").collect())
-    return fit([t for _, _, t in taken], [lang for lang, _, _ in taken])
+    taken = sorted(((r["lang"], r["_n"], r["grams"]) for r in top.select("lang", "_n", _packed(F.col("text")).alias("grams")).collect()), key=lambda r: r[:2])
+    return fit_grams([[np.frombuffer(x, "<u2").astype(np.int64) for x in g] for _, _, g in taken], [lang for lang, _, _ in taken])
+
+
+def _packed(text: Column) -> Column:
+    """grams() of a text column, each as 2 bytes a hash."""
+
+    @pandas_udf("array<binary>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([[g.astype("<u2").tobytes() for g in grams(x)] for x in texts], dtype=object)
+
+    return of(text)
 
 
 def predicted(docs: DataFrame, model: Model, text: Column) -> Column:
