@@ -189,8 +189,12 @@ def bound(value: Column, of) -> Column:
 KEY = ["k", "z", "h"]
 
 
+#: Rows of a run: neighbours in order that one task lines up.
+RUN_ROWS = 64
+
+
 def next_in_order(keys: DataFrame) -> DataFrame:
-    """For distinct (z, k, h, copies, n): the key and n of the row before, in ascending order, around the end.
+    """For distinct (z, k, h, copies): at, a number in ascending order, run, and joint: of a run's first row, the run before, around the end.
 
     z is 1 for an id and 0 for null, k the id or 0, h the hash of the text. The order is by ranges:
     each is walked by itself, and a table of one row a range joins them up.
@@ -198,83 +202,97 @@ def next_in_order(keys: DataFrame) -> DataFrame:
     spark = keys.sparkSession
     order = ["z", "k", "h"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The upper bits of at are the range's number, the lower ones count its rows.
     ranged = cut(keys.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("part", F.shiftright("at", 33))
-    inside = Window.partitionBy("part").orderBy("at")
-    row = F.struct(*KEY, "n")
-    walked = ranged.withColumn("before", F.lag(row).over(inside))
-    ends = ranged.groupBy("part").agg(F.max(F.struct(F.col("at"), row.alias("row"))).alias("end"))
+    bits = RUN_ROWS.bit_length() - 1
+    ranged = ranged.withColumn("run", F.shiftright("at", bits))
+    ends = ranged.groupBy(F.shiftright("at", 33).alias("part")).agg(F.min("at").alias("first"), F.max("run").alias("end"))
     # A row for each range: no more than there are shuffle partitions.
     across = Window.orderBy("part")
     final = F.last("end").over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    joints = ends.select(F.col("part").alias("of"), F.coalesce(F.lag("end").over(across), final)["row"].alias("joint"))
-    joined = walked.join(joints, walked["part"] == joints["of"])
-    return joined.select(*KEY, "copies", "n", F.coalesce("before", "joint").alias("before"))
+    joints = ends.select(F.col("first").alias("of"), F.coalesce(F.lag("end").over(across), final).alias("joint"))
+    joined = ranged.join(joints, ranged["at"] == joints["of"], "left")
+    return joined.select(*KEY, "copies", "at", "run", F.coalesce("joint", F.when(F.col("at") % RUN_ROWS == 0, F.col("run") - 1)).alias("joint"))
+
+
+def overlap(a: Column, b: Column) -> Column:
+    """Number of matches() of two arrays of anchors' hashes: for each hash as often as the rarer has it.
+
+    Where the hashes of either are distinct, as they mostly are, that is the size of an intersection.
+    """
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    numbered = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("h")))
+    return F.when(once, F.size(F.array_intersect(a, b))).otherwise(F.size(matches(numbered(a), numbered(b))))
+
+
+def in_place(a: Column, b: Column) -> Column:
+    """Number of anchors that stand at the same position in both."""
+    whole = lambda c: F.transform(c, lambda x: x["at"].cast("long") * (1 << 32) + x["h"])
+    return F.size(F.array_intersect(whole(a), whole(b)))
 
 
 def syncmer_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Anchors of every whole text, fingerprints of it and of its edited text, and how they match.
 
     anchors are all of them, with positions. near_edited and near_next are likeness() with the edited
-    and next text; matched_edited and matched_next count the matches, kept_edited those that stand at
-    the same position in the edited text.
+    and next text; matched_edited and matched_next count the matches, kept_edited the anchors that
+    stand at the same position in the edited text.
 
     The edited text ends in the first floor(n / 4) characters of the next document in ascending
     (doc_id, hash of the text) order instead of its own last ones; after the last comes the first;
     null ids come first. A null text is empty. Rows that repeat id and text are one document in the
-    order: all but one of them are followed by their own copy. A text moves once, by a key that only
-    such rows share, and to the row before it its first quarter and its anchors' hashes. An empty
-    table gives no rows.
+    order: all but one of them are followed by their own copy. A text moves to its place in the order
+    and then to its run of RUN_ROWS neighbours; a run's first text goes to the run before as well. So
+    anchors are worked out once. An empty table gives no rows.
     """
     doc = F.col(id_col).cast("long")
     texts = docs.select(F.coalesce(doc, F.lit(0).cast("long")).alias("k"), doc.isNotNull().cast("int").alias("z"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    keys = texts.select(*KEY, F.length("text").cast("long").alias("n")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
-    ordered = cut(next_in_order(keys))
+    ordered = cut(next_in_order(texts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))))
     repeats = not ordered.filter("copies > 1").isEmpty()
     if repeats:
         texts = texts.dropDuplicates(KEY)
-    # The texts' shuffle, by KEY, serves both sides of the second join.
-    own = texts.join(ordered, KEY).select(*KEY, "text", "copies", "n", "before")
-    quarter = lambda n: F.expr(f"cast({n} div 4 as int)")
-    heads = own.select(*[F.col(f"before.{c}").alias(c) for c in KEY], F.left("text", quarter("before.n")).alias("head"), syncmers(F.col("text"))["h"].alias("next_hashes"))
-    both = own.join(heads, KEY)
-    numbered = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("h")))
-
-    def lined(rows: DataFrame, next_hashes: Column | None) -> DataFrame:
-        """rows: KEY, n, text and head."""
-        kept = (F.col("n") - F.expr("n div 4")).cast("int")
-        rows = rows.withColumn("edited", F.concat(F.left("text", kept), "head"))
-
-        def compared(a: Column) -> Column:
-            def with_rest(e: Column) -> Column:
-                def told(m: Column) -> Column:
-                    matched, total = e["lead"] + F.size(m), e["lead"] + F.size(e["rest"])
-                    return F.struct(
-                        a.alias("anchors"),
-                        digest(a).alias("fingerprint"),
-                        digest(F.concat(F.slice(a, F.lit(1), e["lead"]), e["rest"])).alias("edited_fingerprint"),
-                        likeness(F.size(a), total, matched).alias("near_edited"),
-                        matched.alias("matched_edited"),
-                        (e["lead"] + F.size(F.filter(m, lambda p: p["at"] == p["other"]))).alias("kept_edited"),
-                    )
-
-                return bound(matches(F.slice(a, e["lead"] + 1, F.size(a)), e["rest"]), told)
-
-            return bound(syncmers_of_edit(a, kept, F.col("edited")), with_rest)
-
-        rows = rows.withColumn("e", bound(syncmers(F.col("text")), compared))
-        rows = rows.select(F.when(F.col("z") == 1, F.col("k")).alias(id_col), F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "e", *([next_hashes.alias("next_hashes")] if next_hashes is not None else []), *([] if next_hashes is not None else ["copies"]))
-        size = F.size("e.anchors")
-        if next_hashes is None:
-            return rows.select(id_col, "n_chars", "edited_sha256", "e.*", F.lit(1.0).alias("near_next"), size.alias("matched_next"), "copies")
-        m = F.size(matches(numbered(F.col("e.anchors.h")), numbered(F.col("next_hashes"))))
-        rows = rows.withColumn("m", m)
-        return rows.select(id_col, "n_chars", "edited_sha256", "e.*", likeness(size, F.size("next_hashes"), F.col("m")).alias("near_next"), F.col("m").alias("matched_next"))
-
-    out = lined(both, F.col("next_hashes"))
-    if not repeats:
-        return out
-    # Further copies, each followed by its own text.
-    more = lined(own.filter("copies > 1").withColumn("head", F.left("text", quarter("n"))), None)
-    copies = more.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies") - 1)))
-    return out.unionByName(copies.select(*out.columns))
+    own = texts.join(ordered, KEY).select("z", "k", "text", "copies", "at", "run", "joint")
+    # A guest, the next run's first row, is the last of a run.
+    both = F.array_compact(F.array(F.struct(F.col("run"), F.lit(0).alias("guest")), F.when(F.col("joint").isNotNull(), F.struct(F.col("joint").alias("run"), F.lit(1).alias("guest")))))
+    rows = own.withColumn("to", F.explode(both)).select("to.run", "to.guest", "z", "k", "text", "copies", "at")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "run").sortWithinPartitions("run", "guest", "at").withColumn("a", syncmers(F.col("text")))
+    order = Window.partitionBy("run").orderBy("guest", "at")
+    rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_hashes", F.lead(F.col("a.h")).over(order)).filter("guest = 0")
+    if repeats:  # further copies, each followed by its own text
+        again = F.struct((F.col("copies") - 1).alias("times"), F.col("text").alias("next_text"), F.col("a.h").alias("next_hashes"))
+        once = F.struct(F.lit(1).cast("long").alias("times"), F.col("next_text"), F.col("next_hashes"))
+        rows = rows.withColumn("to", F.explode(F.filter(F.array(once, again), lambda x: x["times"] > 0))).select("z", "k", "text", "a", "to.*")
+
+    n = F.length("text")
+    kept = n - F.expr("length(text) div 4").cast("int")
+    rows = rows.withColumn("kept", kept).withColumn("edited", F.concat(F.left("text", F.col("kept")), F.left("next_text", n - F.col("kept"))))
+
+    def compared(e: Column) -> Column:
+        tail = lambda own: F.slice(own, e["lead"] + 1, F.size(own))
+        a = F.col("a")
+        return F.struct(
+            digest(F.concat(F.slice(a, F.lit(1), e["lead"]), e["rest"])).alias("edited_fingerprint"),
+            (e["lead"] + F.size(e["rest"])).alias("edited_anchors"),
+            (e["lead"] + overlap(tail(a["h"]), e["rest"]["h"])).alias("matched_edited"),
+            (e["lead"] + in_place(tail(a), e["rest"])).alias("kept_edited"),
+        )
+
+    rows = rows.withColumn("e", bound(syncmers_of_edit(F.col("a"), F.col("kept"), F.col("edited")), compared))
+    rows = rows.withColumn("matched_next", overlap(F.col("a.h"), F.col("next_hashes")))
+    near = lambda b, m: likeness(F.size("a"), b, F.col(m))
+    out = rows.select("*", "e.*").select(
+        F.when(F.col("z") == 1, F.col("k")).alias(id_col),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("a").alias("anchors"),
+        digest(F.col("a")).alias("fingerprint"),
+        "edited_fingerprint",
+        near(F.col("edited_anchors"), "matched_edited").alias("near_edited"),
+        "matched_edited",
+        "kept_edited",
+        near(F.size("next_hashes"), "matched_next").alias("near_next"),
+        "matched_next",
+        *(["times"] if repeats else []),
+    )
+    return out.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times") if repeats else out
