@@ -35,8 +35,8 @@ MOST_LANGUAGES = 2000
 
 #: A code point of category L, as in training.
 _LETTER = regex.compile(r"\p{L}")
-#: Numbers that a product of a batch holds at a time.
-PRODUCT = 1 << 22
+#: Texts of a batch, and numbers that one of its products holds at a time.
+TEXTS, PRODUCT = 256, 1 << 22
 
 
 def grams(text: str) -> list[np.ndarray]:
@@ -72,6 +72,10 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Decision values of a batch: a product of its sparse matrix of presence with the weights for each n."""
+        parts = [self._scores(texts[i : i + TEXTS]) for i in range(0, len(texts), TEXTS)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.languages)), np.float32)
+
+    def _scores(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.languages)), np.float32)
         found = [grams(x) for x in texts]
         for k in range(len(LENGTHS)):
