@@ -115,6 +115,11 @@ def digest(found: Column) -> Column:
     return F.sha2(F.array_join(found["h"].cast("array<string>"), ","), 256)
 
 
+def bound(value: Column, of) -> Column:
+    """of(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 #: Characters of a window and of the windows inside it: about one window in nine is an anchor.
 LONG_K, LONG_S = 24, 6
 #: Windows that are worked out together: what a row holds besides its anchors doesn't follow its text.
@@ -122,8 +127,14 @@ BLOCK = 1 << 14
 
 
 def _closed(text: Column, k: int, s: int) -> Column:
-    """Closed syncmers (at, h) of a text; none if it has fewer than k characters."""
+    """Closed syncmers (at, h) of a text; none if it has fewer than k characters.
+
+    A window's least hash stands first, or last, if that is no more than the ``width`` hashes after,
+    or before, it. A stretch of half that many, next to a hash's own stretch, lies within reach on
+    either side: only a hash that is no more than the least of one of the two is looked at closely.
+    """
     width = k - s
+    half = max(width // 2, 1)
     cut_out = lambda code, at, n: F.substring(code, at * 4 + 1, F.lit(4 * n))
 
     def all_of(conditions: list[Column]) -> Column:
@@ -132,26 +143,36 @@ def _closed(text: Column, k: int, s: int) -> Column:
             out = out & c
         return out
 
-    def block(code: Column, n: Column, begin: Column) -> Column:
-        inner = F.transform(F.sequence(F.lit(0), F.least(n - s - begin, F.lit(BLOCK + width - 1))), lambda i: F.xxhash64(cut_out(code, begin + i, s)))
+    def candidates(h: Column, least: Column) -> Column:
+        def stretch(x: Column, b: Column) -> Column:
+            inside = lambda t: F.filter(F.sequence(b * half, F.least(b * half + (half - 1), F.size(h) - 1)), lambda p: F.get(h, p) <= t)
+            beside = F.greatest(F.get(least, b + 1), F.get(least, b - 1))
+            return F.when(x <= beside, bound(beside, inside))
 
-        def chosen(h: Column) -> Column:
-            def closed(i: Column) -> Column:
-                first, last = F.get(h, i), F.get(h, i + width)
-                # Evaluated up to the first that fails, so by three or so of them.
-                return F.when(first <= last, all_of([first <= F.get(h, i + j) for j in range(1, width)])).otherwise(all_of([last <= F.get(h, i + j) for j in range(width - 1, 0, -1)]))
+        return F.flatten(F.array_compact(F.transform(least, stretch)))
 
-            at = F.filter(F.sequence(F.lit(0), F.size(h) - width - 1), closed)
-            return F.transform(at, lambda i: F.struct((begin + i).alias("at"), _short(cut_out(code, begin + i, k)).alias("h")))
+    def starts(h: Column) -> Column:
+        least = F.transform(F.sequence(F.lit(1), F.size(h), F.lit(half)), lambda p: F.array_min(F.slice(h, p, F.lit(half))))
 
-        return F.get(F.transform(F.array(inner), chosen), F.lit(0))
+        # Conditions are evaluated up to the first that fails.
+        def chosen(c: Column) -> Column:
+            first = F.filter(c, lambda p: (p + width < F.size(h)) & all_of([F.get(h, p) <= F.get(h, p + j) for j in range(1, width + 1)]))
+            last = F.filter(c, lambda p: (p >= width) & all_of([F.get(h, p) <= F.get(h, p - j) for j in range(1, width + 1)]))
+            return F.sort_array(F.array_distinct(F.concat(first, F.transform(last, lambda p: p - width))))
+
+        return bound(least, lambda m: bound(candidates(h, m), chosen))
+
+    def block(code: Column, n: Column, begin: Column) -> Column:
+        first = begin * 4 + 1
+        most = F.least(n - s - begin, F.lit(BLOCK + width - 1))
+        inner = F.transform(F.sequence(first, first + most * 4, F.lit(4)), lambda p: F.xxhash64(F.substring(code, p, F.lit(4 * s))))
+        return F.transform(bound(inner, starts), lambda i: F.struct((begin + i).alias("at"), _short(cut_out(code, begin + i, k)).alias("h")))
 
     def of(code: Column) -> Column:
         n = (F.octet_length(code) / 4).cast("int")
         return F.flatten(F.transform(F.sequence(F.lit(0), n - k, F.lit(BLOCK)), lambda begin: block(code, n, begin)))
 
-    found = F.get(F.transform(F.array(F.encode(text, "UTF-32")), of), F.lit(0)).cast(ANCHORS)
-    return F.when(F.length(text) >= k, found).otherwise(F.array().cast(ANCHORS))
+    return F.when(F.length(text) >= k, bound(F.encode(text, "UTF-32"), of).cast(ANCHORS)).otherwise(F.array().cast(ANCHORS))
 
 
 def _whole(text: Column) -> Column:
@@ -181,11 +202,6 @@ def syncmers_of_edit(own: Column, kept: Column, edited: Column, k: int = LONG_K,
     return F.struct(lead.alias("lead"), F.when(F.length(edited) >= k, rest).otherwise(_whole(edited)).alias("rest"))
 
 
-def bound(value: Column, of) -> Column:
-    """of(value), with value worked out once."""
-    return F.get(F.transform(F.array(value), of), F.lit(0))
-
-
 KEY = ["k", "z", "h"]
 
 
