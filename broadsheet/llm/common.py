@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute needs it
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
+#: Texts that a function of texts sees at once.
+TEXTS_AT_ONCE = 256
 #: Rows of one Arrow batch handed on by a Python stage.
 OUT_ROWS = 8192
 
@@ -80,3 +83,21 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
             size += n
         if len(lengths) > begin:
             yield batch.slice(begin), [x or "" for x in texts.slice(begin).to_pylist()]
+
+
+def of_texts(kind: str, of: Callable[[list[str | None]], pa.Array]) -> Callable[[Column], Column]:
+    """A column function from a function of some texts, which gives an array of this kind.
+
+    A batch of rows stays in Arrow; only a slice of it is Python strings at a time.
+    """
+
+    @arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [of([x if isinstance(x, str) else None for x in texts.slice(i, TEXTS_AT_ONCE).to_pylist()]) for i in range(0, max(len(texts), 1), TEXTS_AT_ONCE)]
+        return pa.concat_arrays(parts)
+
+    return run
+
+
+def structs(**columns: pa.Array) -> pa.StructArray:
+    return pa.StructArray.from_arrays(list(columns.values()), list(columns))

@@ -11,15 +11,15 @@ product for each n.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+
+from broadsheet.llm.common import of_texts, structs
 
 LENGTHS = (1, 2, 3, 4)
 BITS = 16
@@ -35,8 +35,8 @@ MOST_LANGUAGES = 2000
 
 #: A code point of category L, as in training.
 _LETTER = regex.compile(r"\p{L}")
-#: Texts of a batch, and numbers that one of its products holds at a time.
-TEXTS, PRODUCT = 256, 1 << 22
+#: Numbers that a product of a batch holds at a time.
+PRODUCT = 1 << 22
 
 
 def grams(text: str) -> list[np.ndarray]:
@@ -72,10 +72,6 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Decision values of a batch: a product of its sparse matrix of presence with the weights for each n."""
-        parts = [self._scores(texts[i : i + TEXTS]) for i in range(0, len(texts), TEXTS)]
-        return np.concatenate(parts) if parts else np.zeros((0, len(self.languages)), np.float32)
-
-    def _scores(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.languages)), np.float32)
         found = [grams(x) for x in texts]
         for k in range(len(LENGTHS)):
@@ -179,37 +175,31 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def _packed(text: Column) -> Column:
     """grams() of a text column, each as 2 bytes a hash."""
 
-    @pandas_udf("array<binary>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([[g.astype("<u2").tobytes() for g in grams(x)] for x in texts], dtype=object)
+    def of(texts: list[str | None]) -> pa.Array:
+        return pa.array([[g.astype("<u2").tobytes() for g in grams(x or "")] for x in texts], pa.list_(pa.binary()))
 
-    return of(text)
+    return of_texts("array<binary>", of)(text)
 
 
 def predicted(docs: DataFrame, model: Model, text: Column) -> Column:
     """struct(lang_pred, score) of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights.astype(np.float32)))
 
-    @pandas_udf("lang_pred string, score double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        here = Model(*shared.value)
-        for texts in batches:
-            yield pd.DataFrame(here.predict([x if isinstance(x, str) else None for x in texts]), columns=["lang_pred", "score"])
+    def of(texts: list[str | None]) -> pa.Array:
+        found = Model(*shared.value).predict(texts)
+        return structs(lang_pred=pa.array([x for x, _ in found], pa.string()), score=pa.array([x for _, x in found], pa.float64()))
 
-    return of(text)
+    return of_texts("lang_pred string, score double", of)(text)
 
 
 def decided(docs: DataFrame, model: Model, text: Column) -> Column:
     """Model.decisions() of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights.astype(np.float32)))
 
-    @pandas_udf("double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        here = Model(*shared.value)
-        for texts in batches:
-            yield pd.Series(here.decisions([x if isinstance(x, str) else None for x in texts]), dtype="float64")
+    def of(texts: list[str | None]) -> pa.Array:
+        return pa.array(Model(*shared.value).decisions(texts), pa.float64())
 
-    return of(text)
+    return of_texts("double", of)(text)
 
 
 def language_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import stored, wrapped
+from broadsheet.llm.common import of_texts, stored, structs, wrapped
 from broadsheet.llm.textstats import text_stats
 
 SCALE = 512
@@ -58,11 +58,11 @@ FINE = 64  # steps of a distance's binary logarithm
 def stats(text: Column) -> Column:
     """struct of BASE, longs, of a whole text; null counts as empty."""
 
-    @pandas_udf(", ".join(f"{c} long" for c in BASE))
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_stats(x if isinstance(x, str) else None) for x in texts], columns=BASE)
+    def of(texts: list[str | None]) -> pa.Array:
+        found = np.array([text_stats(x) for x in texts], np.int64).reshape(-1, len(BASE))
+        return structs(**{c: pa.array(found[:, i]) for i, c in enumerate(BASE)})
 
-    return of(text)
+    return of_texts(", ".join(f"{c} long" for c in BASE), of)(text)
 
 
 def base_failed(s: str = "") -> Column:
@@ -154,7 +154,7 @@ def _shapes(rows: DataFrame, start: DataFrame) -> DataFrame:
                     out.append((row["g"], number, [*params[:DIMS], *np.linalg.inv(covariance(shape * np.outer(spread, spread))).ravel()]))
             yield pd.DataFrame(out, columns=["g", "start", "params"])
 
-    return shaped.mapInPandas(run, "g string, start int, params array<double>")
+    return shaped.mapInPandas(run, f"g {rows.schema['g'].dataType.simpleString()}, start int, params array<double>")
 
 
 def distance(params: str = "params") -> Column:
@@ -213,8 +213,8 @@ def blended(parts: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarr
 
 def estimates(rows: DataFrame) -> DataFrame:
     """(lang, source, params) of rows with lang, source and x0, x1, ...: a small table, a row for each pair of language and source."""
-    quoted = lambda kind, *c: F.concat(F.lit(kind), F.to_json(F.struct(*c), {"ignoreNullFields": "false"}))
-    named = rows.select("lang", "source", *X, F.array(F.lit("a"), quoted("l", "lang"), quoted("s", "lang", "source")).alias("gs"))
+    hashed = lambda kind, *c: F.xxhash64(F.lit(kind), *[x for k in c for x in (F.col(k).isNull(), F.coalesce(k, F.lit("")))])
+    named = rows.select("lang", "source", *X, F.array(hashed("all"), hashed("lang", "lang"), hashed("source", "lang", "source")).alias("gs"))
     own = stored(named.select(F.explode("gs").alias("g"), *X), "mcd-rows")
     pairs = stored(named.groupBy("lang", "source", "gs").agg(F.count(F.lit(1)).alias("n")), "mcd-groups")
     found = own.groupBy("g").agg(F.count(F.lit(1)).alias("n")).join(minimum_determinants(own), "g")

@@ -20,14 +20,12 @@ from itertools import combinations
 from math import acos, comb, pi
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import cut, stored, wrapped
+from broadsheet.llm.common import cut, of_texts, stored, structs, wrapped
 
 #: Distinct fingerprints of one bucket that one task compares; larger buckets are split in tiles.
 TILE = 1 << 15
@@ -56,11 +54,10 @@ def simhash(text: str | None, words_in_shingle: int, seed: int) -> int:
 def fingerprint(text: Column, words_in_shingle: int = 4, seed: int = 42) -> Column:
     """The fingerprint of a text column as a (signed) long."""
 
-    @pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([simhash(x, words_in_shingle, seed) for x in texts], np.uint64).astype(np.int64))
+    def of(texts: list[str | None]) -> pa.Array:
+        return pa.array(np.array([simhash(x, words_in_shingle, seed) for x in texts], np.uint64).view(np.int64))
 
-    return of(text)
+    return of_texts("long", of)(text)
 
 
 def hex_of(fp: Column) -> Column:
@@ -482,23 +479,23 @@ def recall(jaccard: float, similarity: float = 0.8) -> float:
 def wide_fingerprint(text: Column, words_in_shingle: int = 5, seed: int = 42) -> Column:
     """struct(node, w0, w1, ...) of a text column; node is a hash of the set of shingles."""
 
-    @pandas_udf("node long, " + ", ".join(f"w{i} long" for i in range(WIDE)))
-    def of(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(x, words_in_shingle, seed) for x in texts]
-        found = np.array([[xxhash.xxh64_intdigest(h.tobytes(), seed), *_wide_of(h)] for h in sets], np.uint64).reshape(-1, 1 + WIDE)
-        return pd.DataFrame(found.view(np.int64), columns=["node", *[f"w{i}" for i in range(WIDE)]])
+    names = ["node", *[f"w{i}" for i in range(WIDE)]]
 
-    return of(text)
+    def of(texts: list[str | None]) -> pa.Array:
+        sets = (shingle_set(x, words_in_shingle, seed) for x in texts)
+        found = np.array([[xxhash.xxh64_intdigest(h.tobytes(), seed), *_wide_of(h)] for h in sets], np.uint64).reshape(-1, 1 + WIDE).view(np.int64)
+        return structs(**{c: pa.array(found[:, i]) for i, c in enumerate(names)})
+
+    return of_texts(", ".join(f"{c} long" for c in names), of)(text)
 
 
 def shingle_bytes(text: Column, words_in_shingle: int, seed: int) -> Column:
     """shingle_set() of a text column, 8 bytes a shingle."""
 
-    @pandas_udf("binary")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(x, words_in_shingle, seed).tobytes() for x in texts], dtype=object)
+    def of(texts: list[str | None]) -> pa.Array:
+        return pa.array([shingle_set(x, words_in_shingle, seed).tobytes() for x in texts], pa.binary())
 
-    return of(text)
+    return of_texts("binary", of)(text)
 
 
 def jaccard_roots(sets: list[np.ndarray], similarity: float) -> np.ndarray:
