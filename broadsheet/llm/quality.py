@@ -131,7 +131,7 @@ def _shapes(rows: DataFrame, start: DataFrame) -> DataFrame:
     z is a row's distance from the median in robust deviations, coordinate by coordinate. tanh(z) bounds
     what one row can do to its correlation, z / |z| what it can do by being far.
     """
-    z = rows.join(start, "g").select("g", *[F.expr(f"(x{i} / {float(SCALE)} - params[{i}]) * sqrt(params[{DIMS + DIMS * i + i}])").alias(f"z{i}") for i in range(DIMS)])
+    z = rows.join(start, "g").select("g", *[F.expr(f"(x{i} / {float(SCALE)}D - params[{i}]) * sqrt(params[{DIMS + DIMS * i + i}])").alias(f"z{i}") for i in range(DIMS)])
     norm = "greatest(sqrt(" + " + ".join(f"z{i} * z{i}" for i in range(DIMS)) + "), 1e-9D)"
     whole = [F.expr(f"cast(round({SHAPE} * {e}) as long)").alias(f"{k}{i}") for i in range(DIMS) for k, e in (("t", f"tanh(z{i})"), ("u", f"z{i} / {norm}"))]
     sums = [F.sum(f"{k}{i}").alias(f"{k}s{i}") for k in "tu" for i in range(DIMS)]
@@ -157,27 +157,53 @@ def _shapes(rows: DataFrame, start: DataFrame) -> DataFrame:
     return shaped.mapInPandas(run, f"g {rows.schema['g'].dataType.simpleString()}, start int, params array<double>")
 
 
-def distance(params: str = "params") -> Column:
-    """Squared Mahalanobis distance of x0, x1, ... from params."""
-    off = [f"(x{i} / {float(SCALE)} - {params}[{i}])" for i in range(DIMS)]
-    terms = [f"{1 if i == j else 2} * {off[i]} * {off[j]} * {params}[{DIMS + DIMS * i + j}]" for i in range(DIMS) for j in range(i, DIMS)]
-    return F.expr(" + ".join(terms))
+def with_distance(rows: DataFrame, name: str = "distance") -> DataFrame:
+    """rows with the squared Mahalanobis distance of x0, x1, ... from params; null where params is.
+
+    Offsets are columns of their own, so that each is worked out once and the code stays small enough
+    to be compiled.
+    """
+    off = {f"_o{i}": F.col(x) * (1.0 / SCALE) - F.get("params", F.lit(i)) for i, x in enumerate(X)}
+    terms = [F.expr(f"{1 if i == j else 2}D * _o{i} * _o{j}") * F.get("params", F.lit(DIMS + DIMS * i + j)) for i in range(DIMS) for j in range(i, DIMS)]
+    return rows.withColumns(off).withColumn(name, sum(terms[1:], terms[0])).drop(*off)
 
 
 def _step(rows: DataFrame, params: DataFrame) -> DataFrame:
     """One concentration step: (g, params, logdet) of the nearest SHARE of each group, for each row of params; a column start is kept."""
     keys = [k for k in ("g", "start") if k in params.columns]
-    ranked = rows.join(params.select(*keys, "params"), "g").withColumn("bin", F.floor(FINE * F.log2(F.greatest(distance(), F.lit(1e-6)))))
-    counts = ranked.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    params = params.select(*keys, "params")
+
+    def ranked(by: DataFrame) -> DataFrame:
+        return with_distance(rows.join(by, "g"), "d").withColumn("bin", F.floor(FINE * F.log2(F.greatest("d", F.lit(1e-6)))))
+
+    counts = ranked(params).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
     of = Window.partitionBy(*keys)
     # As many rows as a distance has steps, whatever the table.
     upto = counts.withColumn("upto", F.sum("n").over(of.orderBy("bin"))).withColumn("all", F.sum("n").over(of))
-    limits = stored(upto.filter(F.col("upto") >= F.ceil(SHARE * F.col("all"))).groupBy(*keys).agg(F.min("bin").alias("limit")), "mcd-limits")
-    near = ranked.join(limits, keys).filter("bin <= limit")
-    sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)]
-    products = [F.sum(F.expr(f"x{i} * x{j}")).alias(f"s{i}_{j}") for i in range(DIMS) for j in range(i, DIMS)]
-    moments = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums, *products)
-    return stored(_solve(moments, keys), "mcd-params")
+    limits = upto.filter(F.col("upto") >= F.ceil(SHARE * F.col("all"))).groupBy(*keys).agg(F.min("bin").alias("limit"))
+    limited = ranked(stored(params.join(limits, keys), "mcd-limits").select(*keys, "params", "limit"))
+    return stored(_solve(_moments(limited.select(*keys, *X, "bin", "limit"), keys), keys), "mcd-params")
+
+
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n, s0, s0_0, ...): number, sums and sums of products by group of rows whose bin is within their limit.
+
+    Batches are cut and summed in Arrow first. In the JVM the filter would go into the join, and the
+    distance with it, and with as many sums that is a method too long to be compiled.
+    """
+    names = ["n", *[f"s{i}" for i in range(DIMS)], *[f"s{i}_{j}" for i in range(DIMS) for j in range(i, DIMS)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.compute.less_equal(batch.column("bin"), batch.column("limit")))
+            x = [batch.column(k) for k in X]
+            columns = [pa.array(np.ones(batch.num_rows, np.int64)), *x, *[pa.compute.multiply(x[i], x[j]) for i in range(DIMS) for j in range(i, DIMS)]]
+            table = pa.table([*[batch.column(k) for k in keys], *columns], names=[*keys, *names])
+            found = table.group_by(keys).aggregate([(c, "sum") for c in names])
+            yield from found.select([*keys, *[f"{c}_sum" for c in names]]).rename_columns([*keys, *names]).combine_chunks().to_batches()
+
+    kinds = ", ".join([*[f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys], *[f"{c} long" for c in names]])
+    return rows.mapInArrow(run, kinds).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
 
 
 def minimum_determinants(rows: DataFrame) -> DataFrame:
@@ -244,8 +270,8 @@ def _verdicts(rows: DataFrame, found: DataFrame) -> DataFrame:
     """rows with base_failed and kept."""
     named = found.withColumnsRenamed({"lang": "_l", "source": "_s"})
     joined = rows.join(named, rows["lang"].eqNullSafe(F.col("_l")) & rows["source"].eqNullSafe(F.col("_s")), "left")
-    near = F.coalesce(distance() <= CUTOFF, F.lit(True))
-    return joined.withColumn("kept", ~F.col("base_failed") & near).withColumn("distance", F.round(distance(), 4))
+    near = F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
+    return with_distance(joined).withColumn("kept", ~F.col("base_failed") & near).withColumn("distance", F.round("distance", 4))
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
