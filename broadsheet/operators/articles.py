@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
 from broadsheet.functions import vocabulary as V
+from broadsheet.operators import folds
 
 
 def from_documents(docs: DataFrame, page_rows: int = 100) -> DataFrame:
@@ -92,10 +93,10 @@ def fold_bodies(parts: Column, overlap: float = V.FRAGMENT_OVERLAP) -> Column:
 
 
 def _merged(articles: DataFrame, keys: Sequence[str], overlap: float) -> DataFrame:
-    parts = F.array_sort(F.collect_list(F.struct("ordinal", "title", "body")))
-    grouped = articles.groupBy("issue", "page", *keys).agg(parts.alias("parts"))
-    plain = F.transform("parts", lambda p: F.struct(p["title"].alias("title"), p["body"].alias("body")))
-    return grouped.select("issue", "page", F.col("parts")[0]["ordinal"].alias("ordinal"), F.col("parts")[0]["title"].alias("title"), fold_bodies(plain, overlap).alias("body"), F.transform("parts", lambda p: p["ordinal"]).alias("members"))
+    group = ["issue", "page", *keys]
+    pieces = folds.new_pieces(articles.select(*group, "ordinal", "title", "body"), group, ["ordinal"], overlap)
+    first = F.min_by("title", "ordinal").alias("title")
+    return pieces.groupBy(*group).agg(F.min("ordinal").alias("ordinal"), first, folds.joined_pieces(["ordinal"]).alias("body"), F.array_sort(F.collect_list("ordinal")).alias("members")).drop(*keys)
 
 
 def merge_same_titles(articles: DataFrame, overlap: float = V.FRAGMENT_OVERLAP) -> DataFrame:
@@ -148,10 +149,35 @@ def merge_across_pages(articles: DataFrame, overlap: float = V.CONTINUATION_OVER
     """
     base = X.label_key(X.continued_base(F.coalesce("title", F.lit(""))))
     keyed = articles.withColumn("_base", F.when(base == "", F.concat(F.lit("\u0001"), F.col("ordinal").cast("string"))).otherwise(base))
-    parts = F.array_sort(F.collect_list(F.struct("page", "ordinal", "title", "body")))
-    grouped = keyed.groupBy("issue", "_base").agg(parts.alias("parts"))
-    plain = F.transform("parts", lambda p: F.struct(F.get(F.col("parts"), F.lit(0))["title"].alias("title"), p["body"].alias("body")))
-    return grouped.select("issue", F.col("parts")[0]["page"].alias("page"), F.col("parts")[0]["ordinal"].alias("ordinal"), X.continued_base(F.col("parts")[0]["title"]).alias("title"), fold_bodies(plain, overlap).alias("body"), F.array_distinct(F.transform("parts", lambda p: p["page"])).alias("source_pages"))
+    pieces = folds.new_pieces(keyed.select("issue", "_base", "page", "ordinal", "title", "body"), ["issue", "_base"], ["page", "ordinal"], overlap, title=None)
+    first = F.struct("page", "ordinal")
+    merged = pieces.groupBy("issue", "_base").agg(F.min(first).alias("f"), X.continued_base(F.min_by("title", first)).alias("title"), folds.joined_pieces(["page", "ordinal"]).alias("body"), F.array_sort(F.collect_set("page")).alias("source_pages"))
+    return merged.select("issue", "f.page", "f.ordinal", "title", "body", "source_pages")
+
+
+def merge_continuations(articles: DataFrame, overlap: float = V.CONTINUATION_OVERLAP) -> DataFrame:
+    """The cross-page merge of an issue: rows that continue an article (folds.continuation_targets) join it.
+
+    Bodies are left out where that share of their tokens is there; pages, images and block ids (columns
+    source_pages, images and source_block_ids, where there are such) are united in order. A row that is
+    marked as continued but continues nothing gets the title that its mark names.
+    """
+    names = articles.columns
+    targets = folds.continuation_targets(articles)
+    said = X.strip(F.coalesce("continuation_of", F.lit(""))) if "continuation_of" in names else F.lit("")
+    flag = F.coalesce("is_continuation", F.lit(False)) if "is_continuation" in names else F.lit(False)
+    plain = X.or_else(X.continued_base(F.coalesce("title", F.lit(""))), F.col("title"))
+    marked = flag | (said != "") | X.is_continued(F.coalesce("title", F.lit("")))
+    named = targets.withColumn("title", F.when(marked, F.when(said != "", said).otherwise(plain)).otherwise(F.col("title"))).withColumn("body", X.strip(F.coalesce("body", F.lit(""))))
+    own_pages = F.array("page") if "source_pages" not in names else F.when(F.size("source_pages") > 0, F.col("source_pages")).otherwise(F.array("page"))
+    lists = {"source_pages": own_pages, **{c: F.col(c) for c in ("images", "source_block_ids") if c in names}}
+    named = named.withColumns({f"_{k}": F.coalesce(v, F.array().cast(named.select(v.alias("v")).schema["v"].dataType)) for k, v in lists.items()})
+    pieces = folds.new_pieces(named.select("issue", "target", "page", "ordinal", "title", "body", *[f"_{k}" for k in lists]), ["issue", "target"], ["page", "ordinal"], overlap, title=None)
+    order = F.struct("page", "ordinal")
+    in_order = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page", "ordinal", F.col(c).alias("v")))), lambda x: x["v"]))
+    united = [(in_order(f"_{k}") if k == "source_block_ids" else F.array_distinct(in_order(f"_{k}"))).alias(k) for k in lists]
+    merged = pieces.groupBy("issue", "target").agg(F.min(order).alias("f"), F.min_by("title", order).alias("title"), folds.joined_pieces(["page", "ordinal"]).alias("body"), *united)
+    return merged.select("issue", "f.page", "f.ordinal", "title", "body", *lists)
 
 
 def reindex(articles: DataFrame) -> DataFrame:
