@@ -35,9 +35,23 @@ SERVICE_PHRASES = ("market data", "financial times share service", "managed fund
 # The sections that each publication prints.
 SECTIONS = {
     "WSJ": ("PAGE ONE", "U.S. NEWS", "WORLD NEWS", "OPINION", "SPORTS", "BUSINESS & FINANCE", "TECHNOLOGY", "PERSONAL JOURNAL", "ARTS IN REVIEW", "MARKETS DIGEST", "HEARD ON THE STREET", "EXCHANGE"),
+    "TE": (
+        "THE WORLD THIS WEEK", "LEADERS", "LETTERS", "BRIEFING", "UNITED STATES", "THE AMERICAS", "ASIA", "CHINA", "MIDDLE EAST & AFRICA",
+        "EUROPE", "BRITAIN", "INTERNATIONAL", "BUSINESS", "FINANCE & ECONOMICS", "SCIENCE & TECHNOLOGY", "CULTURE", "OBITUARY",
+    ),
+    "BARRONS": (
+        "UP & DOWN WALL STREET", "STREETWISE", "REVIEW & PREVIEW", "INCOME INVESTING", "FUNDS QUARTERLY", "THE ECONOMY", "TECH TRADER",
+        "MARKET WEEK", "INTERNATIONAL TRADER", "THE STRIKING PRICE", "INSIDE SCOOP", "WINNERS & LOSERS", "MARKET VIEW", "OTHER VOICES",
+        "RETIREMENT MAILBAG",
+    ),
     "FT": ("NATIONAL", "INTERNATIONAL", "COMPANIES & MARKETS", "UK COMPANIES", "MARKETS", "OPINION", "LIFE & ARTS", "HOUSE & HOME", "MONEY", "FT WEEKEND"),
 }
 
+# What marks a promotion among a magazine's blocks, all of them together.
+PODCAST_PROMOTION = ("in a weekly podcast by barron", "subscribe to barron", "favorite listening app")
+# Phrases of promotions in large type.
+HEADLINE_PROMOTIONS = ("daily real estate obsession", "mansionglobal com newsletters")
+
 # The categories that others are mapped to, in order of precedence.
 STANDARD_CATEGORIES = (
     "UP & DOWN WALL STREET", "STREETWISE", "REVIEW & PREVIEW",

@@ -68,7 +68,7 @@ def call(rows: DataFrame, task: str, payload: list[str], client: ModelClient | N
                     errors.append(str(e)[:220])
             yield f.assign(reply=pd.Series(replies, index=f.index, dtype=object), reply_error=pd.Series(errors, index=f.index, dtype=object))
 
-    return rows.coalesce(in_flight).mapInPandas(run, schema)
+    return rows.repartition(in_flight).mapInPandas(run, schema)
 
 
 def accept_longer(old: Column, new: Column) -> Column:
@@ -97,3 +97,62 @@ def alternatives(reply: Column, *keys: str) -> Column:
 def text_of_reply(reply: Column) -> Column:
     """The text of a reply, whatever the shape: message content, tool arguments, choice text or plain output."""
     return alternatives(reply, "choices[0].message.content", "choices[0].message.tool_calls[0].function.arguments", "choices[0].text", "message.content", "output[0].content[0].text", "content[0].text", "output_text", "text")
+
+
+def native_split(pages: DataFrame, blocks: DataFrame, client: ModelClient | None = None, in_flight: int = 3) -> DataFrame:
+    """(page, article, title, category, body, block_ids): a model names the blocks of each article, their text is put together here.
+
+    pages: page and prompt. Accepted are articles with a title and a block that the page has; a page
+    without one is missing from the result, so that it falls back.
+    """
+    from broadsheet.operators import pages as P
+
+    kind = "array<struct<title string, category string, content_block_ids array<string>>>"
+    asked = call(pages.select("page", "prompt"), "native_split", ["prompt"], client, in_flight)
+    found = asked.select("page", F.posexplode(F.from_json(F.get_json_object("reply", "$.articles"), kind)).alias("article", "a"))
+    named = found.select("page", F.col("article").cast("long").alias("article"), F.trim("a.title").alias("title"), "a.category", F.col("a.content_block_ids").alias("block_ids")).filter("title <> ''")
+    bodies = P.assemble(named.select("page", "article", "block_ids"), blocks)
+    return named.drop("block_ids").join(bodies, ["page", "article"]).select("page", "article", "title", "category", "body", "block_ids")
+
+
+def anchor_split(pages: DataFrame, client: ModelClient | None = None, in_flight: int = 3) -> DataFrame:
+    """(page, article, title, category, body, how): a model names first and last words of each article, the page's text between them is the body.
+
+    pages: page, text, prompt. Where the anchors aren't found in order the body is the anchors themselves.
+    """
+    from broadsheet.operators import articles as A
+
+    kind = "array<struct<title string, category string, start_anchor string, end_anchor string>>"
+    asked = call(pages.select("page", "text", "prompt"), "anchor_split", ["prompt"], client, in_flight)
+    found = asked.select("page", "text", F.posexplode(F.from_json(F.get_json_object("reply", "$.articles"), kind)).alias("article", "a"))
+    sliced = X.anchor_slice(F.col("text"), F.coalesce("a.start_anchor", F.lit("")), F.coalesce("a.end_anchor", F.lit("")))
+    body = F.coalesce(sliced, A.fallback_body(F.col("a.start_anchor"), F.col("a.end_anchor")))
+    rows = found.select("page", F.col("article").cast("long").alias("article"), F.trim("a.title").alias("title"), "a.category", body.alias("body"), F.when(sliced.isNotNull(), "slice").otherwise("anchors").alias("how"))
+    return rows.filter((F.col("title") != "") & (F.col("body") != "..."))
+
+
+def vision_articles(pages: DataFrame, client: ModelClient | None = None, in_flight: int = 3) -> DataFrame:
+    """(page, article, title, category, body): articles that a model reads off a page's image. Accepted are those with a title and a body.
+
+    pages: page and image (bytes), which go to the client as they are.
+    """
+    kind = "array<struct<title string, category string, content_markdown string>>"
+    asked = call(pages.select("page", "image"), "vision_articles", ["image"], client, in_flight)
+    found = asked.select("page", F.posexplode(F.from_json(F.get_json_object("reply", "$.articles"), kind)).alias("article", "a"))
+    rows = found.select("page", F.col("article").cast("long").alias("article"), F.trim("a.title").alias("title"), "a.category", X.strip(F.coalesce("a.content_markdown", F.lit(""))).alias("body"))
+    return rows.filter((F.col("title") != "") & (F.col("body") != ""))
+
+
+def image_insights(articles: DataFrame, client: ModelClient | None = None, in_flight: int = 3) -> DataFrame:
+    """articles (id, title, body, images) with images, image_insights and image_analysis_complete after a model has looked at them.
+
+    Articles without images are not asked about; where the reply reviews none of an article's images, it stays as it is.
+    """
+    from broadsheet.operators import images as I
+
+    rows = articles.withColumn("_usable", I.capped(F.col("images"))).withColumn("_context", F.left(F.coalesce("body", F.lit("")), F.lit(4500)))
+    asked = call(rows.filter(F.size("_usable") > 0).select("id", F.col("title").alias("_title"), "_context", F.to_json("_usable").alias("_paths")), "image_insights", ["_title", "_context", "_paths"], client, in_flight)
+    joined = rows.join(asked.select("id", "reply"), "id", "left").withColumn("_r", I.insights_of_reply(F.col("reply"), F.col("_usable")))
+    done = F.coalesce(F.col("_r.reviewed") > 0, F.lit(False))
+    new = [F.when(done, F.col("_r.insights.path")).otherwise(F.col("images")).alias("images"), F.when(done, F.col("_r.insights")).alias("image_insights"), done.alias("image_analysis_complete")]
+    return joined.select(*[c for c in articles.columns if c not in ("images", "image_insights", "image_analysis_complete")], *new)

@@ -121,3 +121,45 @@ def rename_assets(text: Column, names: Column) -> Column:
 
 def rename_list(images: Column, names: Column) -> Column:
     return F.transform(images, lambda x: F.coalesce(F.try_element_at(names, x), x))
+
+
+def weekend_issues(pages: DataFrame) -> DataFrame:
+    """(issue, weekend): whether page 1 of an issue is a weekend's."""
+    return pages.groupBy("issue").agg(F.coalesce(F.bool_or((F.col("page") == 1) & F.coalesce("is_weekend", F.lit(False))), F.lit(False)).alias("weekend"))
+
+
+def pages_to_retry(failed: DataFrame, pending: DataFrame) -> DataFrame:
+    """(issue, pages): numbers of pages that failed or wait for a compilation, each once, in order; those without a number don't count."""
+    both = failed.select("issue", "page").unionByName(pending.select("issue", "page")).filter("page > 0")
+    return both.groupBy("issue").agg(F.array_sort(F.collect_set("page")).alias("pages"))
+
+
+def work_order(pages: DataFrame, cached: DataFrame) -> DataFrame:
+    """pages (issue, page) with cached and place: those without a stored result first, then by number."""
+    marked = pages.join(cached.select("issue", "page").distinct().withColumn("_c", F.lit(True)), ["issue", "page"], "left").withColumn("cached", F.coalesce("_c", F.lit(False))).drop("_c")
+    return marked.withColumn("place", F.row_number().over(Window.partitionBy("issue").orderBy("cached", "page")).cast("long"))
+
+
+def sources_union(*sources: DataFrame, day: str = "publication_date", kind: str = "publication_type", path: str = "database_path") -> DataFrame:
+    """Rows of all index sources, the last source's of each key: the id, or type, day and path where it has none."""
+    key = F.coalesce(F.nullif(F.trim(F.coalesce("id", F.lit(""))), F.lit("")), F.concat_ws("|", kind, day, path))
+    both = sources[0].withColumn("_at", F.lit(0))
+    for n, s in enumerate(sources[1:], 1):
+        both = both.unionByName(s.withColumn("_at", F.lit(n)))
+    rows = both.withColumn("_key", key).select("_key", "_at", F.struct(*sources[0].columns).alias("_row"))
+    return rows.groupBy("_key").agg(F.max_by("_row", "_at").alias("_row")).select("_row.*")
+
+
+def without_id(entry: Column, publication: Column) -> Column:
+    """A glossary entry as an issue stores it: without its id but in the one publication whose readers look it up."""
+    return F.when(F.upper(publication) == "BARRONS", F.to_json(entry)).otherwise(F.to_json(entry.dropFields("id")))
+
+
+def issue_rows(spark, path: str, issue: str) -> DataFrame:
+    """The rows of one issue of a table partitioned by issue: other issues' files are not listed."""
+    return spark.read.parquet(path).filter(F.col("issue") == issue)
+
+
+def status_report(ledger: DataFrame, most: int = 20) -> DataFrame:
+    """The latest entries of the ledger, newest first."""
+    return ledger.orderBy(F.col("processed_at").desc(), "fingerprint_key").limit(most)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
+from broadsheet.functions import vocabulary as V
 from broadsheet.operators import layout
 
 # Titles and sections of the special world pages.
@@ -99,7 +100,10 @@ def headline_text(text: Column, split=None) -> Column:
 
 def is_promotion(text: Column) -> Column:
     key = F.lower(X.squeeze(text))
-    return F.contains(key, F.lit("in a weekly podcast by barron")) & F.contains(key, F.lit("subscribe to barron")) & F.contains(key, F.lit("favorite listening app"))
+    out = F.lit(True)
+    for phrase in V.PODCAST_PROMOTION:
+        out = out & F.contains(key, F.lit(phrase))
+    return out
 
 
 def is_headline(title: Column, x0: Column, y0: Column, x1: Column, median: Column, largest: Column, width: Column, height: Column) -> Column:
@@ -108,7 +112,7 @@ def is_headline(title: Column, x0: Column, y0: Column, x1: Column, median: Colum
     placed = y0.between(0.035 * height, 0.72 * height) & (x1 - x0 >= 0.18 * width)
     large = (median >= 20) & ((median >= 24) | (largest >= 40))
     label = (F.upper(title) == title) & (n <= 8)
-    promo = F.contains(X.heading_key(title), F.lit("daily real estate obsession")) | F.contains(X.heading_key(title), F.lit("mansionglobal com newsletters"))
+    promo = F.contains(X.heading_key(title), F.lit(V.HEADLINE_PROMOTIONS[0])) | F.contains(X.heading_key(title), F.lit(V.HEADLINE_PROMOTIONS[1]))
     return placed & large & n.between(2, 24) & ~label & title.rlike("^[A-Za-z0-9]") & ~promo
 
 
@@ -121,10 +125,81 @@ def magazine_sections(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("page").agg(F.coalesce(first((F.col("median_font_size") >= 18) & n.between(1, 8)), F.lit("")).alias("section"), F.coalesce(first((F.col("max_font_size") >= 14) & n.between(2, 8)), F.lit("Barron's")).alias("category"))
 
 
+def column_text(blocks: DataFrame, body: DataFrame) -> DataFrame:
+    """(page, body, block_ids) of body blocks by columns, with drop caps put back, those of blocks included."""
+    placed = body.join(layout.column_order(body.select("page", "id", "x0", "y0")), ["page", "id"])
+    by = Window.partitionBy("page").orderBy("place")
+    flat = X.flatten_lines(F.col("text"))
+    moved = F.when((F.col("max_font_size") >= 30) & F.lead(flat).over(by).rlike("^[a-z]"), drop_cap(F.col("text"))).otherwise("")
+    placed = placed.withColumn("flat", flat).withColumn("gone", moved)
+    placed = placed.withColumn("got", F.coalesce(F.lag("gone").over(by), F.lit("")))
+    own = F.when(F.col("gone") != "", F.regexp_replace("flat", " +[A-Z]$", "")).otherwise(F.col("flat"))
+    parts = placed.withColumn("part", F.when(F.upper(F.left(own, F.lit(1))) == F.col("got"), own).otherwise(F.concat("got", own)))
+    lead = leading_drop_cap(blocks, placed)
+    whole = parts.groupBy("page").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("place", "part"))), lambda x: x["part"]), lambda p: p != ""), "\n\n").alias("body"), F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda x: x["id"]).alias("block_ids"))
+    out = whole.join(lead, "page", "left").withColumn("cap", F.coalesce("cap", F.lit("")))
+    text = F.when(F.upper(F.left("body", F.lit(1))) == F.col("cap"), F.col("body")).otherwise(F.concat("cap", "body"))
+    return out.select("page", text.alias("body"), "block_ids")
+
+
+def body_blocks(blocks: DataFrame) -> DataFrame:
+    """The blocks that are text of a magazine's article."""
+    cap = (F.col("max_font_size") >= 40) & (F.col("x1") - F.col("x0") <= 180)
+    return blocks.filter(layout.is_body_block(X.word_count(F.col("text")), cap, F.col("median_font_size"), F.col("y0"), F.col("height")) & ~is_promotion(F.col("text")))
+
+
+def complex_articles(blocks: DataFrame, split=None) -> DataFrame:
+    """(page, title, category, body, block_ids, bypass_min_words): the main article of a page of one of COMPLEX_SECTIONS.
+
+    The market view is all of its text. Else the headline is the block in the largest type, of the
+    mailbag the leftmost; its text stands below it, in the section's own columns, of the inside scoop
+    down to the next headline. A market week may have a title only.
+    """
+    page = Window.partitionBy("page")
+    rows = blocks.join(magazine_sections(blocks).select("page", "section"), "page").filter(F.col("section").isin(*COMPLEX_SECTIONS))
+    rows = rows.withColumn("title", headline_text(F.col("text"), split))
+    large = (F.col("median_font_size") >= 20) & (F.col("max_font_size") >= 24) & X.word_count(F.col("title")).between(2, 24) & (F.upper("title") != F.col("title"))
+    mailbag, view, week, scoop = (F.col("section") == x for x in ("RETIREMENT MAILBAG", "MARKET VIEW", "MARKET WEEK", "INSIDE SCOOP"))
+    rank = F.when(mailbag, F.col("x0")).otherwise(-F.col("median_font_size"))
+    heads = rows.filter(large & ~view).withColumn("r", F.row_number().over(page.orderBy(rank, "ordinal"))).filter("r = 1")
+    heads = heads.select("page", F.col("title").alias("head"), F.col("id").alias("head_id"), F.col("y0").alias("hy0"), F.col("y1").alias("hy1"))
+    led = rows.join(heads, "page", "left")
+    limit = F.col("width") * F.when(mailbag, 0.52).when(F.col("section") == "REVIEW & PREVIEW", 0.56).otherwise(1.0)
+    words = F.size(F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), F.lit(0)))
+    other = (F.col("id") != F.col("head_id")) & (F.col("x0") < 0.55 * F.col("width")) & (F.col("y0") > F.col("hy1") + 20) & (F.col("max_font_size") >= 16) & words.between(2, 20)
+    led = led.withColumn("below", F.coalesce(F.min(F.when(other, F.col("y0"))).over(page), F.col("height")))
+    placed = (F.col("id") != F.col("head_id")) & (F.col("x0") < limit) & (week | (F.col("y0") >= F.col("hy0") - 4)) & (~scoop | ((F.col("x0") < 0.55 * F.col("width")) & (F.col("y0") < F.col("below"))))
+    whole = column_text(blocks, body_blocks(led.filter(view | placed)).select(*blocks.columns))
+    pages = rows.select("page", "section").distinct().join(heads, "page", "left").join(whole, "page", "left")
+    found = F.size(F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit("[A-Za-z0-9]+"), F.lit(0)))
+    kept = pages.filter((view & (found >= 300)) | (F.col("head").isNotNull() & (week | (found >= 40))))
+    body = F.when(week, X.or_else(F.col("body"), F.col("head"))).otherwise(F.col("body"))
+    return kept.select("page", F.when(view, "Market View").otherwise(F.col("head")).alias("title"), F.col("section").alias("category"), body.alias("body"), F.coalesce("block_ids", F.array().cast(whole.schema["block_ids"].dataType)).alias("block_ids"), week.alias("bypass_min_words"))
+
+
+def page_status(blocks: DataFrame, split=None, least_words: int = 300) -> DataFrame:
+    """(page, status): which of magazine_articles, complex_articles and continuation_pages a page is for, so that none goes unseen.
+
+    skipped: of fewer than least_words words; several: more than one headline, for a split by a model.
+    """
+    title = headline_text(F.col("text"), split)
+    head = is_headline(title, F.col("x0"), F.col("y0"), F.col("x1"), F.col("median_font_size"), F.col("max_font_size"), F.col("width"), F.col("height"))
+    n = F.sum(F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z0-9]+"), F.lit(0))))
+    found = blocks.groupBy("page").agg(n.alias("words"), F.count_if(head).alias("heads")).join(magazine_sections(blocks), "page")
+    status = F.when(is_short_page(F.lit("BARRONS"), F.col("words"), least_words), "skipped").when(F.col("section").isin(*COMPLEX_SECTIONS), "complex").when(F.col("heads") == 1, "simple").when(F.col("heads") == 0, "continuation").otherwise("several")
+    return found.select("page", status.alias("status"))
+
+
+def is_short_page(publication: Column, words: Column, least: int = 300) -> Column:
+    """Whether a magazine's page has too little text for an article."""
+    return (F.upper(F.trim(publication)) == "BARRONS") & (words < least)
+
+
 def magazine_articles(blocks: DataFrame, least_words: int = 80, split=None) -> DataFrame:
     """The article of each simple magazine page: exactly one headline, body blocks by columns, drop caps restored.
 
-    Pages of COMPLEX_SECTIONS and pages with several headlines give none; continuation_pages takes those without one.
+    Pages of COMPLEX_SECTIONS are for complex_articles, those without a headline for continuation_pages;
+    page_status tells, and names those with several.
     """
     page = Window.partitionBy("page")
     rows = blocks.join(magazine_sections(blocks), "page").filter(~F.col("section").isin(*COMPLEX_SECTIONS))
@@ -134,19 +209,8 @@ def magazine_articles(blocks: DataFrame, least_words: int = 80, split=None) -> D
     heads = rows.filter("headline").select("page", F.col("title").alias("page_title"), "category")
     cap = (F.col("max_font_size") >= 40) & (F.col("x1") - F.col("x0") <= 0.24 * F.col("width"))
     body = rows.filter(~F.col("headline") & layout.is_body_block(X.word_count(F.col("text")), cap, F.col("median_font_size"), F.col("y0"), F.col("height")) & ~is_promotion(F.col("text")))
-    placed = body.join(layout.column_order(body.select("page", "id", "x0", "y0")), ["page", "id"])
-    by = Window.partitionBy("page").orderBy("place")
-    flat = X.flatten_lines(F.col("text"))
-    moved = F.when((F.col("max_font_size") >= 30) & F.lead(flat).over(by).rlike("^[a-z]"), drop_cap(F.col("text"))).otherwise("")
-    placed = placed.withColumn("flat", flat).withColumn("gone", moved)
-    placed = placed.withColumn("got", F.coalesce(F.lag("gone").over(by), F.lit("")))
-    own = F.when(F.col("gone") != "", F.regexp_replace("flat", " +[A-Z]$", "")).otherwise(F.col("flat"))
-    parts = placed.withColumn("part", F.when(F.upper(F.left(own, F.lit(1))) == F.col("got"), own).otherwise(F.concat("got", own)))
-    lead = leading_drop_cap(blocks, placed)
-    whole = parts.groupBy("page").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("place", "part"))), lambda x: x["part"]), lambda p: p != ""), "\n\n").alias("body"), F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda x: x["id"]).alias("block_ids"))
-    out = heads.join(whole, "page").join(lead, "page", "left").withColumn("cap", F.coalesce("cap", F.lit("")))
-    body = F.when(F.upper(F.left("body", F.lit(1))) == F.col("cap"), F.col("body")).otherwise(F.concat("cap", "body"))
-    return out.select("page", F.col("page_title").alias("title"), "category", body.alias("body"), "block_ids").filter(X.word_count(F.col("body")) >= least_words)
+    out = heads.join(column_text(blocks, body), "page")
+    return out.select("page", F.col("page_title").alias("title"), "category", "body", "block_ids").filter(X.word_count(F.col("body")) >= least_words)
 
 
 def leading_drop_cap(blocks: DataFrame, placed: DataFrame) -> DataFrame:

@@ -100,3 +100,21 @@ def asset_path(root: Column, database_path: Column, relative: Column) -> Column:
     """Address of an asset: its root, the folder of the issue's file, the relative path."""
     folder = F.regexp_replace(database_path, "[^/]*$", "")
     return F.regexp_replace(F.concat(F.regexp_replace(root, "/*$", "/"), folder, F.regexp_replace(relative, "^\\./", "")), "(?<!:)/{2,}", "/")
+
+
+def local_summary(article: DataFrame) -> Column:
+    """What is shown of an article that no model has read: its place, category, page and number of words. Columns label, section, category, page, body, compiled."""
+    words = F.size(F.filter(F.split(F.coalesce(article["body"], F.lit("")), "[ \\t-\\r]+"), lambda w: w != ""))
+    place = F.concat_ws(" · ", F.nullif(article["label"], F.lit("")), F.nullif(article["section"], F.lit("")))
+    # The wording.
+    lines = [
+        F.lit("### 基本信息"),
+        F.concat(F.lit("- 版面："), F.coalesce(F.nullif(place, F.lit("")), F.lit("未知"))),
+        F.concat(F.lit("- 分类："), F.coalesce(F.nullif(article["category"], F.lit("")), F.lit("General"))),
+        F.concat(F.lit("- PDF 页码："), F.coalesce(F.nullif(article["page"], F.lit(0)).cast("string"), F.lit("未知"))),
+        F.concat(F.lit("- 正文字数：约 "), words.cast("string"), F.lit(" words")),
+        F.lit(""),
+        F.lit("### 处理状态"),
+        F.when(F.coalesce(article["compiled"], F.lit(False)), "- 已完成 LLM 结构化编译。").otherwise("- 当前文章使用本地段落整理，暂无中文深度解读。"),
+    ]
+    return F.concat_ws("\n", *lines)

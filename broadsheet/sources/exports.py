@@ -65,3 +65,15 @@ def unseen_categories(rows: DataFrame, dimension: DataFrame) -> DataFrame:
     seen = rows.filter(F.coalesce("category", F.lit("")) != "").groupBy("category").agg(F.lit("").alias("name"))
     new = seen.join(dimension.select("category"), "category", "left_anti").select("category", "name", F.lit(None).cast("long").alias("position"))
     return dimension.select("category", "name", F.col("position").cast("long").alias("position")).unionByName(new)
+
+
+def write_in_two_phases(pages: DataFrame, path: str, finish) -> DataFrame:
+    """Writes page results as they come, then the whole issue: what finish makes of all provisional pages replaces them.
+
+    A reader of path/provisional sees pages early; path/final holds whole issues only, by Spark's commit.
+    A repeated run replaces the same partitions. Returns the final table.
+    """
+    spark = pages.sparkSession
+    write_checkpoints(pages, f"{path}/provisional")
+    finish(spark.read.parquet(f"{path}/provisional")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("issue").parquet(f"{path}/final")
+    return spark.read.parquet(f"{path}/final")
