@@ -73,9 +73,11 @@ def outside_directory(articles: DataFrame, items: DataFrame, coverage: float = V
     item_bags = items.select("item_id", X.summary_tokens(F.col("text")).alias("t")).filter(F.size("t") >= least)
     item_counts = item_bags.select("item_id", F.size("t").alias("item_n"), F.explode("t").alias("token")).groupBy("item_id", "item_n", "token").agg(F.count(F.lit(1)).alias("c"))
     directory = item_counts.groupBy("token").agg(F.sum("c").alias("c_dir"))
-    bags = articles.select("ordinal", X.summary_tokens(F.col("body")).alias("t"))
-    counts = bags.select("ordinal", F.size("t").alias("n"), F.explode("t").alias("token")).groupBy("ordinal", "n", "token").agg(F.count(F.lit(1)).alias("c_own"))
-    covered = counts.join(directory, "token").groupBy("ordinal", "n").agg(F.sum(F.least("c_own", "c_dir")).alias("hit")).filter((F.col("n") >= least) & (F.col("hit") / F.col("n") >= coverage))
+    bags = articles.select("ordinal", X.summary_tokens(F.col("body")).alias("t")).filter(F.size("t") >= least)
+    # Tokens that no item has go before anything is counted or moved.
+    tokens = bags.select("ordinal", F.size("t").alias("n"), F.explode("t").alias("token")).join(directory.select("token"), "token", "left_semi")
+    counts = tokens.groupBy("ordinal", "n", "token").agg(F.count(F.lit(1)).alias("c_own"))
+    covered = counts.join(directory, "token").groupBy("ordinal", "n").agg(F.sum(F.least("c_own", "c_dir")).alias("hit")).filter(F.col("hit") / F.col("n") >= coverage)
     # Only articles that the directory covers are compared with its items.
     shared = counts.join(covered.select("ordinal"), "ordinal", "left_semi").join(item_counts, "token").groupBy("ordinal", "item_id", "item_n").agg(F.sum(F.least("c_own", "c")).alias("hit"))
     drop = shared.filter(F.col("hit") / F.col("item_n") >= item_share).select("ordinal").distinct()

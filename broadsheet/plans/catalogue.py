@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from broadsheet.plans import issue_queries, layout_queries, page_queries, reader_queries, text_queries
+from broadsheet.plans import issue_queries, layout_queries, page_queries, reader_queries, text_queries, work_queries
 from broadsheet.plans.registry import Query
 
-MODULES = (text_queries, issue_queries, layout_queries, page_queries, reader_queries)
+MODULES = (text_queries, issue_queries, layout_queries, page_queries, reader_queries, work_queries)
 
 
 def queries() -> dict[str, Query]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.operators import reader
 from broadsheet.plans.registry import Registry, table
 from broadsheet.plans.text_queries import ARTICLES, articles
+from broadsheet.sources import files
 from broadsheet.streaming import ingest
 
 register = Registry()
@@ -89,23 +90,17 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{sf_dir}/events.parquet*")
 
 
-def _root(spark: SparkSession) -> str:
-    import tempfile
-
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="broadsheet-")
-
-
 @register("SELECT DISTINCT user_id, event_type FROM events")
 def ingest_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = ingest.timed(_stream(spark, sf_dir)).select("user_id", "event_type", "ts")
     found = ingest.dedupe_stream(stream, ["user_id", "event_type"], "ts", "3650 days")
-    return ingest.available_table(found, _root(spark)).select("user_id", "event_type")
+    return ingest.available_table(found, files.shared_folder(spark)).select("user_id", "event_type")
 
 
 @register("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def ingest_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ingest.window_counts(ingest.timed(_stream(spark, sf_dir)), "ts", "1 day", "1 hour", "event_type")
-    found = ingest.available_table(counts, _root(spark), "complete")
+    found = ingest.available_table(counts, files.shared_folder(spark), "complete")
     return found.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 

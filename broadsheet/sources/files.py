@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,19 @@ from pyspark.sql import functions as F
 BLOCKS = "page int, page_width double, page_height double, id string, bbox array<double>, text string, max_font_size double, median_font_size double, bold boolean"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, else the warehouse.
+
+    Only where all run in one process, as in tests, a temporary folder will do.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return tempfile.mkdtemp(prefix="broadsheet-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False, content: bool = False) -> DataFrame:
     """path, name, stem, size and mtime of files; with content also sha256 and whether the tail ends a PDF.
 
@@ -28,8 +42,8 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursi
 
 def has_end(content: Column) -> Column:
     """Whether the last 16 KiB hold the mark that ends a PDF."""
-    tail = F.substring(F.hex(content), F.greatest(F.lit(1), 2 * F.length(content) - 2 * 16384 + 1), F.lit(2 * 16384))
-    return F.contains(tail, F.lit("2525454F46"))
+    tail = F.substring(content, F.greatest(F.lit(1), F.length(content) - 16384 + 1), F.lit(16384))
+    return F.contains(tail, F.lit(b"%%EOF"))
 
 
 def name_selector(name: Column, stem: Column, selectors: Sequence[str]) -> Column:
