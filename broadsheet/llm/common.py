@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from broadsheet.sources.files import shared_folder
+
 #: Texts that a function of texts sees at once.
 TEXTS_AT_ONCE = 256
 #: Rows of one Arrow batch handed on by a Python stage.
@@ -28,18 +29,10 @@ def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where that is unset (tests on one machine) a temporary folder is used.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    kept = spark.sparkContext.getCheckpointDir()
-    if kept:
-        return kept.rstrip("/")
-    root = tempfile.mkdtemp(prefix="broadsheet-")
-    spark.sparkContext.setCheckpointDir(root)
+    """The folder that driver and executors share; checkpoints go there too."""
+    root = shared_folder(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
