@@ -60,6 +60,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """The session, with Arrow batches of at most so many rows: the default of 10,000 whole texts is tens of MB in the JVM and in each worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+    return spark
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches of bounded text size, each with its texts; a null text counts as empty.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm.attribution import token_attribution
+from broadsheet.llm.common import bounded_batches
 from broadsheet.llm.langid import language_report
 from broadsheet.llm.mixing import mixture
 from broadsheet.llm.packing import pack, token_pieces
@@ -29,7 +30,7 @@ def tokenizer_path() -> str:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
