@@ -5,7 +5,7 @@ Patterns name their character classes outright, since \\w and \\s differ between
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,11 @@ TOKEN = "[a-z0-9]+"
 CJK = "[\\u3400-\\u4dbf\\u4e00-\\u9fff]"
 
 
+def once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with value worked out once however often of uses it: a lambda's argument is bound."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def or_else(value: Column, default: Column) -> Column:
     """default where a string is null or blank."""
     return F.when(F.length(F.trim(F.coalesce(value, F.lit("")))) > 0, value).otherwise(default)

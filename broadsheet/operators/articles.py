@@ -27,10 +27,14 @@ def from_documents(docs: DataFrame, page_rows: int = 100) -> DataFrame:
 
 def any_phrase(key: Column, phrases: Sequence[str]) -> Column:
     """Whether a normalised text holds one of the phrases."""
-    out = F.lit(False)
-    for p in phrases:
-        out = out | F.contains(key, F.lit(p))
-    return out
+
+    def held(k: Column) -> Column:
+        out = F.lit(False)
+        for p in phrases:
+            out = out | F.contains(k, F.lit(p))
+        return out
+
+    return X.once(key, held)
 
 
 def is_advertisement(title: Column, category: Column, body: Column, phrases: Sequence[str] = V.AD_PHRASES) -> Column:

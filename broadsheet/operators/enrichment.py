@@ -156,3 +156,31 @@ def image_insights(articles: DataFrame, client: ModelClient | None = None, in_fl
     done = F.coalesce(F.col("_r.reviewed") > 0, F.lit(False))
     new = [F.when(done, F.col("_r.insights.path")).otherwise(F.col("images")).alias("images"), F.when(done, F.col("_r.insights")).alias("image_insights"), done.alias("image_analysis_complete")]
     return joined.select(*[c for c in articles.columns if c not in ("images", "image_insights", "image_analysis_complete")], *new)
+
+
+class DowngradingClient:
+    """Sends options along with a payload and drops, or renames, those that a model says it doesn't support.
+
+    client.complete takes the payload with the key options. An error that names an option and says
+    unsupported, unknown or unrecognized is taken for that; any other goes on to the caller.
+    """
+
+    #: What an option is sent as instead; the others are left out.
+    RENAMED = {"max_tokens": "max_completion_tokens"}
+
+    def __init__(self, client: ModelClient, options: dict):
+        self.client, self.options = client, options
+
+    def complete(self, task: str, payload: dict) -> dict | None:
+        options = dict(self.options)
+        while True:
+            try:
+                return self.client.complete(task, payload | {"options": options})
+            except Exception as e:
+                said = str(e).lower()
+                odd = next((k for k in options if k.lower() in said), None)
+                if odd is None or not any(w in said for w in ("unsupported", "not supported", "unknown", "unrecognized", "unexpected")):
+                    raise
+                value = options.pop(odd)
+                if odd in self.RENAMED:
+                    options[self.RENAMED[odd]] = value

@@ -163,3 +163,29 @@ def issue_rows(spark, path: str, issue: str) -> DataFrame:
 def status_report(ledger: DataFrame, most: int = 20) -> DataFrame:
     """The latest entries of the ledger, newest first."""
     return ledger.orderBy(F.col("processed_at").desc(), "fingerprint_key").limit(most)
+
+
+def whole_issues(issues: DataFrame, failed: DataFrame, pending: DataFrame, checkpoints: DataFrame, most: int = 8) -> DataFrame:
+    """(issue, complete, reason, pages): whether an issue has no failed, no pending and no missing page, else the first reason and the first few of its pages.
+
+    issues: issue, page_count; the others: issue, page.
+    """
+    of = lambda df, n, why: df.select("issue", F.col("page").cast("long").alias("page"), F.lit(n).alias("n"), F.lit(why).alias("why"))
+    bad = of(failed, 1, "failed").unionByName(of(pending, 2, "pending")).unionByName(of(missing_pages(issues, checkpoints), 3, "missing"))
+    per = bad.groupBy("issue", "n", "why").agg(F.slice(F.array_sort(F.collect_set("page")), 1, most).alias("pages"))
+    first = per.groupBy("issue").agg(F.min(F.struct("n", "why", "pages")).alias("b"))
+    joined = issues.select("issue").distinct().join(first, "issue", "left")
+    return joined.select("issue", F.col("b").isNull().alias("complete"), F.col("b.why").alias("reason"), F.coalesce("b.pages", F.array().cast("array<long>")).alias("pages"))
+
+
+def image_paths(ids: Column, paths: Column) -> Column:
+    """Paths of images by id from a map; what is a path below images/ already stays. Each once, in order; unknown ids go."""
+    found = F.transform(ids, lambda x: F.coalesce(F.try_element_at(paths, x), F.when(x.startswith("images/"), x)))
+    return F.array_distinct(F.filter(found, lambda p: p.isNotNull()))
+
+
+def ledger_of(ledger: DataFrame, sha256: str | None = None, key: str | None = None) -> DataFrame:
+    """Ledger rows, newest first: all, or those of a content or of a key."""
+    known = ledger if sha256 is None else ledger.filter(F.col("sha256") == sha256)
+    known = known if key is None else known.filter(F.col("fingerprint_key") == key)
+    return known.orderBy(F.col("processed_at").desc(), "fingerprint_key")

@@ -118,3 +118,28 @@ def local_summary(article: DataFrame) -> Column:
         F.when(F.coalesce(article["compiled"], F.lit(False)), "- 已完成 LLM 结构化编译。").otherwise("- 当前文章使用本地段落整理，暂无中文深度解读。"),
     ]
     return F.concat_ws("\n", *lines)
+
+
+def page_articles(articles: DataFrame, pages: DataFrame) -> DataFrame:
+    """(issue, pdf_page, page_order, article_ids, is_fallback): an issue's pages with their articles, by stages.
+
+    articles: issue, ordinal, id, page, label, source_pages; pages: issue, pdf_page, page_order, label.
+    An article goes to every page that it names; if there is none, to the first page of its label, else
+    to its PDF page; what is left goes to a page made up after the last, whose pdf_page is null. Each
+    stage is a join of what the stage before has left.
+    """
+    named = articles.withColumn("on", F.explode_outer(F.array_distinct(F.filter(F.concat(F.coalesce("source_pages", F.array().cast("array<long>")), F.array(F.col("page").cast("long"))), lambda p: p > 0))))
+    numbers = pages.select("issue", F.col("pdf_page").cast("long").alias("on")).distinct()
+    first = named.join(numbers, ["issue", "on"]).select("issue", F.col("on").alias("pdf_page"), "ordinal", "id")
+    left = articles.join(first.select("issue", "id").distinct(), ["issue", "id"], "left_anti")
+    key = lambda c: F.nullif(F.upper(F.trim(F.coalesce(c, F.lit("")))), F.lit(""))
+    labels = pages.withColumn("_l", key(F.col("label"))).filter("_l is not null").groupBy("issue", "_l").agg(F.min_by("pdf_page", "page_order").cast("long").alias("pdf_page"))
+    second = left.withColumn("_l", key(F.col("label"))).join(labels, ["issue", "_l"], "left")
+    found = first.unionByName(second.filter("pdf_page is not null").select("issue", "pdf_page", "ordinal", "id"))
+    rest = second.filter("pdf_page is null").groupBy("issue").agg(F.array_sort(F.collect_list(F.struct("ordinal", "id"))).alias("_a"))
+    per_page = found.groupBy("issue", "pdf_page").agg(F.array_sort(F.collect_set(F.struct("ordinal", "id"))).alias("_a"))
+    ids = F.coalesce(F.transform("_a", lambda a: a["id"]), F.array().cast(per_page.select(F.transform("_a", lambda a: a["id"]).alias("x")).schema["x"].dataType))
+    own = pages.withColumn("pdf_page", F.col("pdf_page").cast("long")).join(per_page, ["issue", "pdf_page"], "left").select("issue", "pdf_page", F.col("page_order").cast("long").alias("page_order"), ids.alias("article_ids"), F.lit(False).alias("is_fallback"))
+    last = pages.groupBy("issue").agg(F.max("page_order").alias("_last"))
+    made = rest.join(last, "issue", "left").select("issue", F.lit(None).cast("long").alias("pdf_page"), (F.coalesce("_last", F.lit(0)) + 1).cast("long").alias("page_order"), F.transform("_a", lambda a: a["id"]).alias("article_ids"), F.lit(True).alias("is_fallback"))
+    return own.unionByName(made)

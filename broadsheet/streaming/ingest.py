@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadsheet.sources.files import WatchConfig, list_files, name_selector, ready
+from broadsheet.sources.files import WatchConfig, list_files, name_selector, ready, shared_folder
 
 
 def timed(rows: DataFrame, column: str = "ts") -> DataFrame:
@@ -82,3 +83,41 @@ def stale(rows: DataFrame, versions: dict[str, int]) -> DataFrame:
     for column, now in versions.items():
         out = out | F.coalesce(F.col(column) < now, F.lit(True))
     return rows.filter(out)
+
+
+def poll(once: Callable[[dict], None], read_config: Callable[[], dict], rounds: int | None = None, interval: float | None = None, wait: Callable[[float], None] = time.sleep) -> int:
+    """Rounds of ingestion: the configuration is read anew for each, the wait between is its poll_interval_seconds, 5 at least.
+
+    A round is a batch of its own, so whatever settles late is met by a later one. rounds: how many, else
+    until interrupted. Returns how many there were.
+    """
+    done = 0
+    try:
+        while rounds is None or done < rounds:
+            config = read_config()
+            once(config)
+            done += 1
+            if rounds is None or done < rounds:
+                wait(max(5.0, float(interval or config.get("poll_interval_seconds", 10800))))
+    except KeyboardInterrupt:
+        pass
+    return done
+
+
+def retry_rounds(pending: DataFrame, attempt: Callable[[DataFrame], DataFrame], done: Callable[[DataFrame, int], None], cooldown: float = 30, rounds: int = 3, wait: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Deferred work: each round tries what is left after a growing wait, and hands on what came through.
+
+    attempt gives its rows with a column ok, and is written once a round (to the shared folder), so that
+    a row is tried once and done and the next round see the same. Returns what is left.
+    """
+    spark = pending.sparkSession
+    root = f"{shared_folder(spark)}/retries-{uuid.uuid4().hex}"
+    for n in range(rounds):
+        if pending.isEmpty():
+            break
+        wait(cooldown * (1 if n == 0 else 3 * 2 ** (n - 1)))
+        attempt(pending).write.parquet(f"{root}/{n}")
+        tried = spark.read.parquet(f"{root}/{n}")
+        done(tried.filter("ok").drop("ok"), n + 1)
+        pending = tried.filter("not ok").drop("ok")
+    return pending
