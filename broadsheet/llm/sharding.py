@@ -51,7 +51,7 @@ def rendezvous_shards(df: DataFrame, key: str, weights: Sequence[float], shard:
 
 
 def shard_slots(df: DataFrame, shard: str, order: Sequence[str], slot: str = "slot", rows_per_run: int = 50_000) -> DataFrame:
-    """df with each row's place in its shard: gapless from 0, in the order of a hash of ``order``.
+    """df with each row's place in its shard: gapless from 0, in the order of a hash of ``order``, unsigned.
 
     No task sees a whole shard: its rows are ranked in runs of about ``rows_per_run``, and a run
     begins where the runs before it end. Rows that equal each other in every column of ``order``
@@ -64,7 +64,8 @@ def shard_slots(df: DataFrame, shard: str, order: Sequence[str], slot: str = "sl
     sizes = rows.groupBy("s", "run").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("s").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("s").alias("of"), F.col("run").alias("of_run"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("s", "run").orderBy("h", *keys)
+    # Runs are prefixes of the unsigned hash, so that is the order within one too, however many there are.
+    within = Window.partitionBy("s", "run").orderBy(F.col("h").bitwiseXOR(F.lit(-(1 << 63)).cast("long")), *keys)
     ranked = rows.withColumn("place", F.row_number().over(within) - 1)
     joined = ranked.join(starts, (ranked["s"] == starts["of"]) & (ranked["run"] == starts["of_run"]))
     kept = [F.col("doc").getField(c).alias(c) for c in df.columns if c != slot]

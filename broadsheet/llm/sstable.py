@@ -1,16 +1,19 @@
 """Sorted-string-table shards of token ids.
 
-A file holds, one after another, data blocks, a block index, a Bloom filter and a footer. Every
-section ends with a line feed, which counts as part of the section: so Spark's text sink, which
-closes each row with one, writes the bytes as they are to any file system it knows.
+A file holds sections, one after another: data blocks, a block index, a Bloom filter and a footer. A
+section is a tag (D, I, B or F), a mask, its bytes xor the mask, MARK and a line feed. The mask is the
+least that keeps MARK out, nearly always 0. So a file can be cut at MARK: Spark's text source reads
+sections as rows, from any part of a file and any file system it knows, and its text sink, which closes
+each row with a line feed, writes them. No task reads or holds a whole file.
 
 data block    entries (varint shared, varint unshared, varint value length, key rest, value), then
-              restart offsets as u32, their number as u32, line feed. Keys drop the prefix that they
-              share with the key before; every 16th key is whole, and its offset is a restart.
-index         for each block: varint key length, last key, u64 offset, u32 length; line feed.
-Bloom filter  bits, then number of hashes as u8; line feed.
+              restart offsets as u32, their number as u32, and the tail: u64 entries and u64 ids in the
+              file before, u32 crc32 of all before it. Keys drop the prefix that they share with the
+              key before; every 16th key is whole, and its offset is a restart.
+index         for each block: varint key length, last key, u64 offset of the block's tag, u32 its length.
+Bloom filter  bits, then number of hashes as u8.
 footer        u64 index offset, u32 index length, u64 filter offset, u32 filter length,
-              u64 entries, u64 ids, magic ``BSSTABLE``, line feed.
+              u64 entries, u64 ids, magic ``BSSTABLE``.
 
 A key is an identifier as 8 bytes, big end first, sign bit flipped, so that byte order is number
 order; a null identifier is the empty key and comes first. A value is a document's ids as
@@ -35,6 +38,10 @@ from broadsheet.llm.tokens import encoder
 
 MAGIC = b"BSSTABLE"
 FOOTER = struct.Struct("<QIQIQQ8s")
+#: Ends a section. No part of it but the whole is both its beginning and its end.
+MARK = b"\x01end-of-section"
+#: Entries before, ids before, checksum.
+TAIL = struct.Struct("<QQI")
 RESTART_EVERY = 16
 
 
@@ -88,6 +95,20 @@ def _bloom(keys: list[bytes], bits_per_key: int) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes() + bytes([hashes])
 
 
+def _section(tag: bytes, data: bytes) -> bytes:
+    for mask in range(256):
+        out = tag + bytes([mask]) + (data if not mask else bytes(np.frombuffer(data, np.uint8) ^ np.uint8(mask)))
+        if MARK not in out + MARK[:-1]:
+            return out + MARK
+    raise AssertionError("some mask keeps MARK out of less than 256 times its own length of bytes")
+
+
+def _bare(section: bytes | memoryview) -> bytes:
+    """The bytes of a section without its mark."""
+    mask = section[1]
+    return bytes(np.frombuffer(section[2:], np.uint8) ^ np.uint8(mask)) if mask else bytes(section[2:])
+
+
 def write_table(entries: Iterable[tuple[bytes, bytes]], block_bytes: int = 64 << 10, bits_per_key: int = 10) -> Iterator[bytes]:
     """The sections of a file for entries in ascending key order, each without its last line feed.
 
@@ -95,17 +116,21 @@ def write_table(entries: Iterable[tuple[bytes, bytes]], block_bytes: int = 64 <<
     """
     block, restarts, index, keys = bytearray(), [], [], []
     offset = count = ids = held = 0
+    before = (0, 0)
     last = b""
 
     def close() -> bytes:
-        nonlocal offset, held
+        nonlocal offset, held, before
         data = bytes(block) + np.array([*restarts, len(restarts)], "<u4").tobytes()
-        index.append(_varint(len(last)) + last + struct.pack("<QI", offset, len(data)))
-        offset += len(data) + 1
+        data += TAIL.pack(*before, zlib.crc32(data))
+        section = _section(b"D", data)
+        index.append(_varint(len(last)) + last + struct.pack("<QI", offset, len(data) + 2))
+        offset += len(section) + 1
+        before = (count, ids)
         block.clear()
         restarts.clear()
         held = 0
-        return data
+        return section
 
     for key, value in entries:
         if key < last:
@@ -127,66 +152,96 @@ def write_table(entries: Iterable[tuple[bytes, bytes]], block_bytes: int = 64 <<
         keys.append(key)
     if block:
         yield close()
-    found = b"".join(index)
+    found, bloom = _section(b"I", b"".join(index)), _section(b"B", _bloom(keys, bits_per_key))
     yield found
-    bloom = _bloom(keys, bits_per_key)
     yield bloom
-    yield FOOTER.pack(offset, len(found), offset + len(found) + 1, len(bloom), count, ids, MAGIC)
+    yield _section(b"F", FOOTER.pack(offset, len(found) - len(MARK), offset + len(found) + 1, len(bloom) - len(MARK), count, ids, MAGIC))
+
+
+class Block:
+    """A data block from its section's bytes. Raises ValueError if they aren't what was written."""
+
+    def __init__(self, section: bytes | memoryview):
+        self.data = _bare(section)
+        self.end = len(self.data) - TAIL.size
+        if section[:1] != b"D" or self.end < 4:
+            raise ValueError("not a data block")
+        self.entries_before, self.ids_before, crc = TAIL.unpack_from(self.data, self.end)
+        if zlib.crc32(memoryview(self.data)[: self.end]) != crc:
+            raise ValueError("a data block is damaged")
+        (self.n,) = struct.unpack_from("<I", self.data, self.end - 4)
+
+    def entries(self, at: int = 0) -> Iterator[tuple[bytes, bytes]]:
+        data, end, key = self.data, self.end - 4 - 4 * self.n, b""
+        while at < end:
+            shared, at = _read_varint(data, at)
+            rest, at = _read_varint(data, at)
+            length, at = _read_varint(data, at)
+            key = key[:shared] + data[at : at + rest]
+            at += rest
+            yield key, data[at : at + length]
+            at += length
+
+    def from_key(self, key: bytes) -> Iterator[tuple[bytes, bytes]]:
+        """Entries from the last restart before a key on, by binary search."""
+        restarts = struct.unpack_from(f"<{self.n}I", self.data, self.end - 4 - 4 * self.n)
+        low = max(0, bisect.bisect_left(restarts, key, key=lambda at: next(self.entries(at))[0]) - 1)
+        return self.entries(restarts[low] if restarts else 0)
+
+
+class Bloom:
+    """A filter from its section's bytes."""
+
+    def __init__(self, section: bytes | memoryview):
+        self.bits = _bare(section)
+
+    def may_hold(self, key: bytes) -> bool:
+        h, size = xxhash.xxh64_intdigest(key), 8 * (len(self.bits) - 1)
+        step = h >> 32 | 1
+        return all(self.bits[b >> 3] >> (b & 7) & 1 for b in ((h + i * step & (1 << 64) - 1) % size for i in range(self.bits[-1])))
 
 
 class Table:
-    """Reads one file from its bytes."""
+    """Looks up keys in one file's bytes."""
 
     def __init__(self, data: bytes):
-        if len(data) < FOOTER.size + 1 or data[-1:] != b"\n":
+        whole = len(data) >= FOOTER.size + len(MARK) + 3 and data.endswith(MARK + b"\n")
+        foot = data[-FOOTER.size - len(MARK) - 3 : -1 - len(MARK)] if whole else b""
+        if foot[:1] != b"F":
             raise ValueError("not a whole file")
-        self.data = data
-        at, n, bloom_at, bloom_n, self.count, self.ids, magic = FOOTER.unpack(data[-1 - FOOTER.size : -1])
+        at, n, bloom_at, bloom_n, self.count, self.ids, magic = FOOTER.unpack(_bare(foot))
         if magic != MAGIC:
             raise ValueError("not a file of this format")
-        self.bloom = data[bloom_at : bloom_at + bloom_n]
+        self.data = data
+        self.bloom = Bloom(data[bloom_at : bloom_at + bloom_n])
         self.blocks: list[tuple[int, int]] = []
         self.last_keys: list[bytes] = []
-        end = at + n
-        while at < end:
-            size, at = _read_varint(data, at)
-            self.last_keys.append(data[at : at + size])
-            self.blocks.append(struct.unpack_from("<QI", data, at + size))
+        index = _bare(data[at : at + n])
+        at = 0
+        while at < len(index):
+            size, at = _read_varint(index, at)
+            self.last_keys.append(index[at : at + size])
+            self.blocks.append(struct.unpack_from("<QI", index, at + size))
             at += size + 12
 
-    def _entries(self, block: int, begin: int = 0) -> Iterator[tuple[bytes, bytes]]:
-        offset, size = self.blocks[block]
-        (restarts,) = struct.unpack_from("<I", self.data, offset + size - 4)
-        at, end, key = offset + begin, offset + size - 4 - 4 * restarts, b""
-        while at < end:
-            shared, at = _read_varint(self.data, at)
-            rest, at = _read_varint(self.data, at)
-            length, at = _read_varint(self.data, at)
-            key = key[:shared] + self.data[at : at + rest]
-            at += rest
-            yield key, self.data[at : at + length]
-            at += length
+    def block(self, i: int) -> Block:
+        offset, size = self.blocks[i]
+        return Block(self.data[offset : offset + size])
 
     def __iter__(self) -> Iterator[tuple[bytes, bytes]]:
         for i in range(len(self.blocks)):
-            yield from self._entries(i)
+            yield from self.block(i).entries()
 
     def may_hold(self, key: bytes) -> bool:
-        h, size = xxhash.xxh64_intdigest(key), 8 * (len(self.bloom) - 1)
-        step = h >> 32 | 1
-        return all(self.bloom[b >> 3] >> (b & 7) & 1 for b in ((h + i * step & (1 << 64) - 1) % size for i in range(self.bloom[-1])))
+        return self.bloom.may_hold(key)
 
     def get(self, key: bytes) -> list[bytes]:
         """Values of a key: filter, then binary search in the index and in a block's restarts."""
         if not self.may_hold(key):
             return []
         found = []
-        for block in range(bisect.bisect_left(self.last_keys, key), len(self.blocks)):
-            offset, size = self.blocks[block]
-            (n,) = struct.unpack_from("<I", self.data, offset + size - 4)
-            restarts = struct.unpack_from(f"<{n}I", self.data, offset + size - 4 - 4 * n)
-            low = max(0, bisect.bisect_left(restarts, key, key=lambda at, b=block: next(self._entries(b, at))[0]) - 1)
-            for k, value in self._entries(block, restarts[low] if restarts else 0):
+        for i in range(bisect.bisect_left(self.last_keys, key), len(self.blocks)):
+            for k, value in self.block(i).from_key(key):
                 if k > key:
                     return found
                 if k == key:
@@ -194,7 +249,7 @@ class Table:
         return found
 
 
-def write_token_tables(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = 24 << 20) -> None:
+def write_token_tables(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = 128 << 20) -> None:
     """Encodes every whole text (null: empty), appends end_id and writes files in ascending id order.
 
     The rows are dealt out by ranges of (id, hash of the text, row), so neither a repeated id nor a
@@ -223,25 +278,73 @@ def write_token_tables(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     sections.select(F.col("section").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
+def _sections(spark: SparkSession, path: str) -> DataFrame:
+    """(file, section) of the files' sections, without their marks."""
+    rows = spark.read.option("lineSep", (MARK + b"\n").decode()).text(path)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("section"))
+
+
 def read_token_tables(spark: SparkSession, path: str) -> DataFrame:
     """A row for each document of the files: key, ids_before (in its file), n_tokens, ids_crc32, file and place."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                table = Table(batch.column(1)[i].as_py())
+                section = batch.column(1)[i].as_buffer()
+                if section is None or bytes(memoryview(section)[:1]) != b"D":
+                    continue
+                block = Block(memoryview(section))
                 keys, counts, crcs = [], [], []
-                for key, value in table:
+                for key, value in block.entries():
                     ids = unpack_ids(value)
                     keys.append(id_of(key))
                     counts.append(len(ids) // 4)
                     crcs.append(zlib.crc32(ids))
                 n = len(keys)
-                before = np.cumsum([0, *counts])[:-1] if n else np.zeros(0)
-                yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array(keys, pa.int64()), pa.array(before, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["file", "place", "key", "ids_before", "n_tokens", "ids_crc32"])
+                before = block.ids_before + np.cumsum([0, *counts])[:-1]
+                yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * n, pa.string()), pa.array(range(block.entries_before, block.entries_before + n), pa.int64()), pa.array(keys, pa.int64()), pa.array(before, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["file", "place", "key", "ids_before", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(read, "file string, place long, key long, ids_before long, n_tokens long, ids_crc32 long")
+    return _sections(spark, path).mapInArrow(read, "file string, place long, key long, ids_before long, n_tokens long, ids_crc32 long")
+
+
+def look_up(spark: SparkSession, path: str, ids: list[int | None]) -> DataFrame:
+    """(key, value) of the documents with these identifiers: ids as little-endian unsigned 32-bit integers.
+
+    Files whose Bloom filter holds none of them are not read again; in a block binary search finds the
+    restart to begin at. The identifiers are a list that fits the driver, the files needn't.
+    """
+    wanted = sorted({key_of(x) for x in ids})
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = [name.as_py() for name, x in zip(batch.column(0), batch.column(1), strict=True) if x.as_py()[:1] == b"B" and any(map(Bloom(x.as_py()).may_hold, wanted))]
+            yield pa.record_batch([pa.array(hit, pa.string())], names=["file"])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, values = [], []
+            for x in batch.column(1):
+                if x.as_py()[:1] != b"D":
+                    continue
+                block = Block(x.as_py())
+                first = next(block.entries())[0]
+                for key in wanted[max(0, bisect.bisect_left(wanted, first)) :]:
+                    hits = [v for k, v in _until(block.from_key(key), key) if k == key]
+                    keys += [id_of(key)] * len(hits)
+                    values += map(unpack_ids, hits)
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(values, pa.binary())], names=["key", "value"])
+
+    files = [r["file"] for r in _sections(spark, path).mapInArrow(candidates, "file string").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], "key long, value binary")
+    return _sections(spark, files).mapInArrow(found, "key long, value binary")
+
+
+def _until(entries: Iterator[tuple[bytes, bytes]], key: bytes) -> Iterator[tuple[bytes, bytes]]:
+    for k, v in entries:
+        if k > key:
+            return
+        yield k, v
 
 
 def token_table_report(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:

@@ -171,8 +171,8 @@ def base32_of_hex(digest: Column) -> Column:
     return F.concat(*parts)
 
 
-def write_archives(pages: DataFrame, path: str, version: int = 1, crawled: str = "20000101000000", min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Renders each page as an ARC record, converts it to WARC and writes the archives.
+def write_archives(pages: DataFrame, path: str, version: int | None = None, crawled: str = "20000101000000", min_revisit_bytes: int = 0, records_per_file: int = 8192, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+    """Renders each page as an ARC record of a version (None: of either, by its payload), converts it to WARC and writes archives of so many records at most.
 
     Of pages with equal payloads of at least min_revisit_bytes bytes that with the smallest id is the
     response (rows that repeat id and payload alike all are), the others revisit it; null ids come
@@ -199,10 +199,11 @@ def write_archives(pages: DataFrame, path: str, version: int = 1, crawled: str =
                         out.append(head.encode() + info + b"\r\n\r")
                         started = True
                     http = b"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-                    old = arc_record(version, ArcRecord(row["url"], "0.0.0.0", crawled, "text/html", http + row["payload"], "200"))
-                    (record,) = read_arc(arc_version_block(version, "pages.arc", crawled) + old)
-                    extra = {} if row["id"] is None else {"X-Page-Id": str(row["id"])}
                     digest = sha1_base32(row["payload"])
+                    arc = version or 1 + ord(digest[0]) % 2
+                    old = arc_record(arc, ArcRecord(row["url"], "0.0.0.0", crawled, "text/html", http + row["payload"], "200"))
+                    (record,) = read_arc(arc_version_block(arc, "pages.arc", crawled) + old)
+                    extra = {} if row["id"] is None else {"X-Page-Id": str(row["id"])}
                     of = None
                     if row["first"] is not None:
                         extra["X-Refers-To-Page-Id"] = str(row["first"])
@@ -211,7 +212,7 @@ def write_archives(pages: DataFrame, path: str, version: int = 1, crawled: str =
                 yield pa.record_batch([pa.array(out, pa.binary())], names=["record"])
 
     records = marked.mapInArrow(convert, "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
