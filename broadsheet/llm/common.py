@@ -53,10 +53,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Like cut(), as a Parquet table: columnar and compressed, for wide rows."""
+def stored(df: DataFrame, name: str, compression: str = "none") -> DataFrame:
+    """Like cut(), as a Parquet table: columnar, for wide rows and small tables.
+
+    Tables of numbers are written as they are: each file's codec would hold memory outside the heap
+    until a collection, and many small files come between two of those.
+    """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

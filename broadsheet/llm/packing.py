@@ -22,10 +22,11 @@ from broadsheet.llm.tokens import encoder
 POOL = 1024
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, id_col: str = "doc_id", text_col: str = "text", forget: bool = False) -> DataFrame:
     """The ids of every whole text (null: empty) and then end_id, cut into pieces of at most ``limit``.
 
     Every document, an empty one too, has a piece. Repeated rows and null ids are rows like others.
+    forget: a worker drops the encoder's cache after each task, where other stages share its memory.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -45,6 +46,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int,
                     total.append(len(data) // 4)
             longs = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             yield pa.record_batch([batch.column(0).take(pa.array(owner, pa.int64())), *longs], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        if forget:
+            encode.forget()
 
     return rows.mapInArrow(pieces, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
 

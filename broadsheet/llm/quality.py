@@ -295,5 +295,5 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     """
     lang, source, s = _labelled(docs, lang_col, source_col, text_col)
     rows = wrapped(docs, lang=lang, source=source, s=s).filter(~base_failed("s."))
-    rows = stored(rows.select("doc", "lang", "source", F.lit(False).alias("base_failed"), *vector("s.")), "quality-stats")
+    rows = stored(rows.select("doc", "lang", "source", F.lit(False).alias("base_failed"), *vector("s.")), "quality-stats", "snappy")
     return _verdicts(rows, estimates(rows)).filter("kept").select("doc.*")

@@ -105,6 +105,10 @@ class Encoder:
         self._known.update(islice(((k, v) for k, v in found.items() if len(k) <= self._longest), room))
         return found
 
+    def forget(self) -> None:
+        """Empties the cache, so that a worker that goes on to other work doesn't hold it."""
+        self._known = {}
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         parts = [chunks(x) for x in texts]
