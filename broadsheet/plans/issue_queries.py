@@ -117,9 +117,10 @@ def directory_link_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def directory_link_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = articles(spark, sf_dir).withColumn("label", F.concat(F.lit("A"), (F.col("ordinal") % 90).cast("string")))
-    # An issue's directory: the titles of its articles on the first place of each page.
-    items = rows.filter("ordinal % 100 < 10").select("issue", F.col("ordinal").alias("item_id"), F.col("title").alias("text"), F.when(F.col("ordinal") % 2 == 0, F.col("label")).alias("label"), F.lit(None).cast("long").alias("explicit"))
+    """Every title is an item of its issue's directory. An issue is a source's rows among a thousand ids, as print would bound it."""
+    issue = F.concat_ws("/", "issue", F.expr("ordinal div 1000").cast("string"))
+    rows = articles(spark, sf_dir).withColumn("issue", issue).withColumn("label", F.concat(F.lit("A"), (F.col("ordinal") % 90).cast("string")))
+    items = rows.select("issue", F.col("ordinal").alias("item_id"), F.col("title").alias("text"), F.when(F.col("ordinal") % 2 == 0, F.col("label")).alias("label"), F.lit(None).cast("long").alias("explicit"))
     return linking.unique_directory_links(items, rows)
 
 
