@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
@@ -116,15 +116,21 @@ def lookup_category(rows: DataFrame, dimension: DataFrame, key: str = "category"
 def standard_category(category, standards=V.STANDARD_CATEGORIES):
     """The standard category that a category equals but for case, or begins with before a slash or a spaced dash; else itself.
 
-    One CASE generated from the ordered list: no join.
+    One CASE generated from the ordered list: no join. The names compared are worked out once, as a
+    lambda's argument; as one JVM method the arms would be too long to be compiled.
     """
-    upper = F.upper(F.trim(category))
-    out = F.when(F.trim(F.coalesce(category, F.lit(""))) == "", F.lit("General"))
-    for s in standards:
-        out = out.when(upper == s.upper(), F.lit(s))
-    for s in standards:
-        u = s.upper()
-        slash = upper.startswith(u + " /") | upper.startswith(u + "/")
-        dashes = (F.contains(upper, F.lit(" - ")) & upper.startswith(u + " -")) | (F.contains(upper, F.lit(" — ")) & upper.startswith(u + " —"))
-        out = out.when(slash | dashes, F.lit(s))
-    return out.otherwise(F.trim(category))
+
+    def chosen(c: Column) -> Column:
+        upper, out = c["upper"], F.when(F.coalesce(c["own"], F.lit("")) == "", F.lit("General"))
+        for s in standards:
+            out = out.when(upper == s.upper(), F.lit(s))
+        for s in standards:
+            u = s.upper()
+            slash = upper.startswith(u + " /") | upper.startswith(u + "/")
+            dashes = (c["dash"] & upper.startswith(u + " -")) | (c["long_dash"] & upper.startswith(u + " —"))
+            out = out.when(slash | dashes, F.lit(s))
+        return out.otherwise(c["own"])
+
+    own, upper = F.trim(category), F.upper(F.trim(category))
+    names = F.struct(own.alias("own"), upper.alias("upper"), F.contains(upper, F.lit(" - ")).alias("dash"), F.contains(upper, F.lit(" — ")).alias("long_dash"))
+    return X.once(names, chosen)
