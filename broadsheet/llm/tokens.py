@@ -83,15 +83,19 @@ class Encoder:
 
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Values of new parts. Those that begin with a space and a visible character are joined, encoded at once and parted by their widths."""
-        spaced = [x for x in missing if x[0] == " " and len(x) > 1 and _VISIBLE.match(x[1])]
-        single = [x for x in missing if not (x[0] == " " and len(x) > 1 and _VISIBLE.match(x[1]))]
+        spaced: list[str] = []
+        single: list[str] = []
+        for x in missing:
+            (spaced if x[0] == " " and (" !" <= x[:2] <= " ~" or len(x) > 1 and _VISIBLE.match(x[1])) else single).append(x)
         found = {x: ids.tobytes() for x, ids in zip(single, self._encoded(single), strict=True)}
         group: list[str] = []
         size = 0
         for x in [*spaced, ""]:
             if group and (not x or size + len(x) > self.JOINED):
-                ids = self._encoded(["".join(group)])[0]
-                ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(y.encode()) for y in group])) + 1
+                whole = "".join(group)
+                ids = self._encoded([whole])[0]
+                lengths = map(len, group) if whole.isascii() else (len(y.encode()) for y in group)
+                ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(np.fromiter(lengths, np.int64, len(group)))) + 1
                 data, begin = ids.tobytes(), 0
                 for y, end in zip(group, (4 * ends).tolist(), strict=True):
                     found[y] = data[begin:end]
@@ -102,7 +106,7 @@ class Encoder:
         if len(self._known) + len(found) > self._entries:
             self._known = dict(islice(self._known.items(), self._entries // 2))
         room = self._entries - len(self._known)
-        self._known.update(islice(((k, v) for k, v in found.items() if len(k) <= self._longest), room))
+        self._known.update(islice(((k, v) for k, v in found.items() if len(k) <= self._longest), room) if len(found) > room or max(map(len, found), default=0) > self._longest else found)
         return found
 
     def forget(self) -> None:
