@@ -63,7 +63,7 @@ class Encoder:
     #: Code points of new parts that are encoded in one call.
     JOINED = 1 << 15
 
-    def __init__(self, path: str, entries: int = 1_000_000, longest: int = 48):
+    def __init__(self, path: str, entries: int = 600_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
