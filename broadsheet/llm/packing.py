@@ -20,6 +20,8 @@ from broadsheet.llm.tokens import encoder
 
 #: Pieces to choose from; new ones come in whenever a sequence is closed.
 POOL = 1024
+#: Words that a worker's encoder keeps here, some 200 bytes each; nothing else in these stages is large.
+WORDS_KEPT = 1_500_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, id_col: str = "doc_id", text_col: str = "text", forget: bool = False) -> DataFrame:
@@ -32,7 +34,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int,
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer_path, WORDS_KEPT), np.array([end_id], "<u4").tobytes()
         for batch, texts in text_slices(batches, max_bytes=2 << 20):
             owner, start, length, crc, total = [], [], [], [], []
             for i, ids in enumerate(encode.ids(texts)):

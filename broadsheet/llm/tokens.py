@@ -63,7 +63,7 @@ class Encoder:
     #: Code points of new parts that are encoded in one call.
     JOINED = 1 << 15
 
-    def __init__(self, path: str, entries: int = 600_000, longest: int = 48):
+    def __init__(self, path: str, entries: int = 800_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -71,7 +71,7 @@ class Encoder:
         self._tokenizer.encode_special_tokens = True
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
-        self._entries, self._longest = entries, longest
+        self.entries, self._longest = entries, longest
         self._known: dict[str, bytes] = {}
         vocabulary = self._tokenizer.get_vocab()
         #: Bytes of text that each id stands for: a byte-level vocabulary spells a byte as a character.
@@ -103,9 +103,9 @@ class Encoder:
                 group, size = [], 0
             group.append(x)
             size += len(x)
-        if len(self._known) + len(found) > self._entries:
-            self._known = dict(islice(self._known.items(), self._entries // 2))
-        room = self._entries - len(self._known)
+        if len(self._known) + len(found) > self.entries:
+            self._known = dict(islice(self._known.items(), self.entries // 2))
+        room = self.entries - len(self._known)
         self._known.update(islice(((k, v) for k, v in found.items() if len(k) <= self._longest), room) if len(found) > room or max(map(len, found), default=0) > self._longest else found)
         return found
 
@@ -146,8 +146,9 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
+def encoder(path: str, entries: int = 800_000) -> Encoder:
+    """One encoder per worker process and file; the last caller says how large its cache may grow."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].entries = entries
     return _ENCODERS[path]
