@@ -53,14 +53,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str, compression: str = "none") -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "none", files: int | None = None) -> DataFrame:
     """Like cut(), as a Parquet table: columnar, for wide rows and small tables.
 
+    files: of a small table, so that it isn't as many files as a shuffle has partitions.
+
     Tables of numbers are written as they are: each file's codec would hold memory outside the heap
     until a collection, and many small files come between two of those.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    (df.repartition(files) if files else df).write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

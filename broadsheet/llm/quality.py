@@ -47,6 +47,8 @@ CUTOFF, INNER, INNER_SHARE = 27.86, 7.841, 0.5508
 #: these units, for groups of few rows.
 FLOORS = (1.0, 0.08, 0.05, 0.05, 0.2, 0.2)
 LEAST_EIGENVALUE = 0.05
+#: Files of a table with a row for each group.
+FILES = 4
 #: Values of the starts' shapes are rounded to 1/SHAPE.
 SHAPE = 4096
 DIMS = len(FLOORS)
@@ -181,8 +183,8 @@ def _step(rows: DataFrame, params: DataFrame) -> DataFrame:
     # As many rows as a distance has steps, whatever the table.
     upto = counts.withColumn("upto", F.sum("n").over(of.orderBy("bin"))).withColumn("all", F.sum("n").over(of))
     limits = upto.filter(F.col("upto") >= F.ceil(SHARE * F.col("all"))).groupBy(*keys).agg(F.min("bin").alias("limit"))
-    limited = ranked(stored(params.join(limits, keys), "mcd-limits").select(*keys, "params", "limit"))
-    return stored(_solve(_moments(limited.select(*keys, *X, "bin", "limit"), keys), keys), "mcd-params")
+    limited = ranked(stored(params.join(limits, keys), "mcd-limits", files=FILES).select(*keys, "params", "limit"))
+    return stored(_solve(_moments(limited.select(*keys, *X, "bin", "limit"), keys), keys), "mcd-params", files=FILES)
 
 
 def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -208,15 +210,15 @@ def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def minimum_determinants(rows: DataFrame) -> DataFrame:
     """(g, params, logdet) of rows with g and x0, x1, ...: the least determinant found, and its centre and inverse covariance."""
-    params = stored(_shapes(rows, stored(_start(rows), "mcd-params")), "mcd-params")
+    params = stored(_shapes(rows, stored(_start(rows), "mcd-params", files=FILES)), "mcd-params", files=FILES)
     for _ in range(2):
         params = _step(rows, params)
     best = params.groupBy("g").agg(F.min(F.struct(F.col("logdet"), F.col("start"), F.col("params"))).alias("b"))
-    best = stored(best.select("g", "b.params", "b.logdet"), "mcd-params")
+    best = stored(best.select("g", "b.params", "b.logdet"), "mcd-params", files=FILES)
     ended, falling = [], best
     while not falling.isEmpty():
         after = _step(rows, falling).withColumnsRenamed({"params": "_params", "logdet": "_logdet"})
-        both = stored(falling.join(after, "g").withColumn("falls", F.col("_logdet") < F.col("logdet") - LEAST_FALL), "mcd-params")
+        both = stored(falling.join(after, "g").withColumn("falls", F.col("_logdet") < F.col("logdet") - LEAST_FALL), "mcd-params", files=FILES)
         ended.append(both.filter("not falls").select("g", "params", "logdet"))
         falling = both.filter("falls").select("g", F.col("_params").alias("params"), F.col("_logdet").alias("logdet"))
     out = ended[0] if ended else best
@@ -242,9 +244,9 @@ def estimates(rows: DataFrame) -> DataFrame:
     hashed = lambda kind, *c: F.xxhash64(F.lit(kind), *[x for k in c for x in (F.col(k).isNull(), F.coalesce(k, F.lit("")))])
     named = rows.select("lang", "source", *X, F.array(hashed("all"), hashed("lang", "lang"), hashed("source", "lang", "source")).alias("gs"))
     own = stored(named.select(F.explode("gs").alias("g"), *X), "mcd-rows")
-    pairs = stored(named.groupBy("lang", "source", "gs").agg(F.count(F.lit(1)).alias("n")), "mcd-groups")
+    pairs = stored(named.groupBy("lang", "source", "gs").agg(F.count(F.lit(1)).alias("n")), "mcd-groups", files=FILES)
     found = own.groupBy("g").agg(F.count(F.lit(1)).alias("n")).join(minimum_determinants(own), "g")
-    found = stored(found.select("g", "n", "params"), "mcd-found")
+    found = stored(found.select("g", "n", "params"), "mcd-found", files=FILES)
     wide = pairs.select("lang", "source", "gs")
     for i in range(3):
         wide = wide.join(found.select(F.col("g").alias(f"g{i}"), F.col("n").alias(f"n{i}"), F.col("params").alias(f"p{i}")), F.col("gs")[i] == F.col(f"g{i}"))
@@ -259,7 +261,7 @@ def estimates(rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["lang", "source", "params"])
 
     rows = wide.select("lang", "source", *[f"{c}{i}" for c in "np" for i in range(3)]).mapInPandas(run, "lang string, source string, params array<double>")
-    return stored(rows, "mcd-estimates")
+    return stored(rows, "mcd-estimates", files=FILES)
 
 
 def _labelled(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> tuple[Column, Column, Column]:
