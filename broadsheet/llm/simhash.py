@@ -32,6 +32,8 @@ TILE = 1 << 15
 #: Groups up to here are compared together, as lists of (query, word).
 SMALL = 512
 WORDS_AT_ONCE = 1 << 18
+#: The same for wide fingerprints.
+WIDE_AT_ONCE = 1 << 14
 
 
 def simhash(text: str | None, words_in_shingle: int, seed: int) -> int:
@@ -65,18 +67,21 @@ def hex_of(fp: Column) -> Column:
 
 
 def _planes(fps: np.ndarray) -> np.ndarray:
-    """Bit planes: row b holds bit b of all fingerprints, 64 in a word."""
-    padded = np.zeros(-(-len(fps) // 64) * 64, np.uint64)
-    padded[: len(fps)] = fps
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    """Bit planes: row b holds bit b of all fingerprints, 64 in a word. fps: one word each, or a row of words."""
+    words = fps.reshape(len(fps), -1)
+    padded = np.zeros((-(-len(fps) // 64) * 64, words.shape[1]), np.uint64)
+    padded[: len(fps)] = words
+    bits = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(np.uint64)
 
 
 def _within(planes: np.ndarray, query: np.ndarray, word: np.ndarray, lanes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """For pairs of a query fingerprint and a word: which pairs have lanes within the radius, and the lanes.
 
-    lanes: the lanes that count. Counters have as many bits as the radius, and a sticky overflow.
+    query: one word for each pair, or a row for each word of the fingerprint. lanes: the lanes that
+    count. Counters have as many bits as the radius, and a sticky overflow.
     """
+    query = np.atleast_2d(query)
     width = radius.bit_length()
     counters = [np.zeros(len(word), np.uint64) for _ in range(max(width, 1))]
     over = ~lanes
@@ -101,21 +106,22 @@ def _within(planes: np.ndarray, query: np.ndarray, word: np.ndarray, lanes: np.n
         return over | more
 
     def differs(b: int) -> np.ndarray:
-        return planes[b][word] ^ -((query >> np.uint64(b)) & np.uint64(1))
+        return planes[b][word] ^ -((query[b >> 6] >> np.uint64(b & 63)) & np.uint64(1))
 
-    for b in range(0, 63, 3):
+    pause = 9 * len(query)
+    for b in range(0, len(planes) - 1, 3):
         x, y, z = differs(b), differs(b + 1), differs(b + 2)
         add(x ^ y ^ z, 0)  # full adder: a sum bit, and a carry bit of twice its worth
         add((x & y) | (z & (x ^ y)), 1)
-        if b % 9 == 6:
+        if b % pause == pause - 3:
             over = beyond()
             alive = np.flatnonzero(~over)
             if len(alive) < len(word) // 2 or not len(alive):
-                at, query, word, over = at[alive], query[alive], word[alive], over[alive]
+                at, query, word, over = at[alive], query[:, alive], word[alive], over[alive]
                 counters = [c[alive] for c in counters]
                 if not len(alive):
                     return at, over
-    add(differs(63), 0)
+    add(differs(len(planes) - 1), 0)
     near = ~beyond()
     alive = np.flatnonzero(near)
     return at[alive], near[alive]
@@ -255,43 +261,37 @@ def group_roots(keys: np.ndarray, fps: np.ndarray, radius: int, check: Check | N
     return out
 
 
-def _wide_large(words: np.ndarray, most: int) -> np.ndarray:
-    """Roots of one group of wide fingerprints: breadth first, each row compared only with those that no class has yet."""
-    label, open_ = np.arange(len(words)), np.arange(len(words))
-    while len(open_):
-        seed, open_ = int(open_[0]), open_[1:]
-        frontier = [seed]
-        while frontier and len(open_):
-            near = np.bitwise_count(words[open_] ^ words[frontier.pop()]).sum(axis=1, dtype=np.int64) <= most
-            if near.any():
-                new = open_[near]
-                label[new] = seed
-                frontier.extend(new.tolist())
-                open_ = open_[~near]
-    return label
-
-
 def wide_group_roots(keys: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
     """Like group_roots, for rows of several words: links are all pairs of a group that differ in ``most`` bits at most.
 
-    Rows of small groups are compared at one distance after another; those already in one class no more.
+    Bit-sliced as well. A row isn't compared with words whose rows are all of its class by then, so a
+    group of near copies costs far less than its pairs.
     """
     if not len(keys):
         return np.zeros(0, np.int64)
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([begins, [len(keys)]]))
-    ends = np.repeat(begins + np.where(sizes <= SMALL, sizes, 0), sizes)
-    rows, out = np.arange(len(keys)), np.arange(len(keys))
-    for step in range(1, SMALL):
-        rows = rows[ends[rows] > rows + step]
-        if not len(rows):
-            break
-        one = rows[out[rows] != out[rows + step]]
-        one = one[np.bitwise_count(words[one] ^ words[one + step]).sum(axis=1, dtype=np.int64) <= most]
-        _unite(out, one, one + step)
-    for begin, size in zip(begins[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        out[begin : begin + size] = begin + _wide_large(words[begin : begin + size], most)
-    return out
+    end = np.repeat(begins + sizes, sizes)
+    planes, fps, rows, label = _planes(words), np.ascontiguousarray(words.T), np.arange(len(keys)), np.arange(len(keys))
+    first, last = (rows + 1) // 64, (end - 1) // 64
+    count = np.where(end > rows + 1, last - first + 1, 0)
+    total = np.cumsum(count)
+    begin = 0
+    while begin < len(rows):
+        stop = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + WIDE_AT_ONCE)))
+        n = count[begin:stop]
+        query = np.repeat(rows[begin:stop], n)
+        word = np.repeat(first[begin:stop], n) + np.arange(len(query)) - np.repeat(np.cumsum(n) - n, n)
+        low, high = (f.reduceat(label, rows[::64])[word] for f in (np.minimum, np.maximum))
+        apart = np.flatnonzero((low != high) | (low != label[query]))
+        query, word = query[apart], word[apart]
+        at, near = _within(planes, fps[:, query], word, _lanes_between(word, query + 1, end[query]), most)
+        for i, lanes in enumerate(near.view(np.uint8).reshape(-1, 8).T):
+            pair, lane = np.nonzero(np.unpackbits(lanes[:, None], axis=1, bitorder="little"))
+            if len(pair):
+                _unite(label, query[at[pair]], 64 * word[at[pair]] + 8 * i + lane)
+        begin = stop
+    return label
 
 
 def _stars(radius: int, wide: bool = False):
@@ -600,8 +600,9 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A radius of 4 in 64 bits sees similarities from about 0.95; here fingerprints have 64 * WIDE bits.
     So many bits differ that pigeonhole buckets would hold everything, hence TABLES tables of SAMPLED
-    bits bring texts together that may be near; the exact similarity of their shingle sets decides.
-    Texts without a word are one group.
+    bits bring texts together that may be near; there they are compared as bit planes, and the exact
+    similarity of the shingle sets of those that are near decides. Texts without a
+    word are one group.
 
     Of rows that share the smallest id one with the smallest hash of its shingles stays, whichever if
     that ties too. Where a group has null ids only, one of its rows stays. Columns are those of docs.
