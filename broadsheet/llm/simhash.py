@@ -261,18 +261,28 @@ def group_roots(keys: np.ndarray, fps: np.ndarray, radius: int, check: Check | N
     return out
 
 
-def wide_group_roots(keys: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
+def _first_of_class(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """For rows sorted by key: the first row of each row's group that is of the same known class."""
+    order = np.lexsort((known, keys))
+    new = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]) | (known[order][1:] != known[order][:-1])])
+    first = np.empty(len(keys), np.int64)
+    first[order] = order[new][np.cumsum(new) - 1]
+    return first
+
+
+def wide_group_roots(keys: np.ndarray, words: np.ndarray, most: int, label: np.ndarray | None = None) -> np.ndarray:
     """Like group_roots, for rows of several words: links are all pairs of a group that differ in ``most`` bits at most.
 
     Bit-sliced as well. A row isn't compared with words whose rows are all of its class by then, so a
-    group of near copies costs far less than its pairs.
+    group of near copies costs far less than its pairs. label: of classes known before, each row's
+    first row in its group.
     """
     if not len(keys):
         return np.zeros(0, np.int64)
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([begins, [len(keys)]]))
     end = np.repeat(begins + sizes, sizes)
-    planes, fps, rows, label = _planes(words), np.ascontiguousarray(words.T), np.arange(len(keys)), np.arange(len(keys))
+    planes, fps, rows, label = _planes(words), np.ascontiguousarray(words.T), np.arange(len(keys)), np.arange(len(keys)) if label is None else label.copy()
     first, last = (rows + 1) // 64, (end - 1) // 64
     count = np.where(end > rows + 1, last - first + 1, 0)
     total = np.cumsum(count)
@@ -297,14 +307,20 @@ def wide_group_roots(keys: np.ndarray, words: np.ndarray, most: int) -> np.ndarr
 def _stars(radius: int, wide: bool = False):
     """Links of groups in rows (key, words of the fingerprint) sorted by key: (u, v), v the root.
 
-    With one word its value is the node; with several (wide) the node is a column of its own.
+    With one word its value is the node. With several (wide), rows are (key, row's node, known, words),
+    and known, the class that the node is of already, takes its place: a group has at most a link for each class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, node, words = rows[0], rows[1], [x.view(np.uint64) for x in rows[2:] or rows[1:]]
-            roots = wide_group_roots(key, np.stack(words, axis=1), radius) if wide else group_roots(key, words[0], radius)
-            at = np.flatnonzero(roots != np.arange(len(roots)))
+            key, node, own = rows[0], rows[1], np.arange(len(rows[0]))
+            if wide:
+                node = rows[2]
+                first = _first_of_class(key, node)
+                roots = wide_group_roots(key, np.stack([x.view(np.uint64) for x in rows[3:]], axis=1), radius, first)
+            else:
+                first, roots = own, group_roots(key, node.view(np.uint64), radius)
+            at = np.flatnonzero((roots != own) & (first == own))
             if len(at):
                 yield pa.record_batch([pa.array(node[at]), pa.array(node[roots[at]])], names=["u", "v"])
 
@@ -427,6 +443,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 #: Words of a wide fingerprint. It only proposes: tables of sampled bits bring pairs together, those
 #: within SLACK standard deviations of the similarity's bits are compared by their shingles.
 WIDE, TABLES, SAMPLED, SLACK = 4, 80, 11, 5.5
+#: Tables of the first round. Near copies meet in nearly all tables; what the first ones join is one class in the others.
+FIRST = 8
 #: Shingles of one group that one task compares; larger groups are split in tiles.
 SET_TILE = 1 << 19
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -554,14 +572,14 @@ def _set_stars(similarity: float):
     return run
 
 
-def _table_keys(seed: int):
-    """Rows (node, w0, ...) to TABLES rows (key, node, w0, ...): a key is the table's number and SAMPLED bits."""
-    bits = [random.Random(f"{seed}:{t}").sample(range(64 * WIDE), SAMPLED) for t in range(TABLES)]
+def _table_keys(seed: int, tables: range):
+    """Rows (node, known, w0, ...) to a row (key, node, known, w0, ...) for each of these tables: a key is the table's number and SAMPLED bits."""
+    bits = [(t, random.Random(f"{seed}:{t}").sample(range(64 * WIDE), SAMPLED)) for t in tables]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [c.to_numpy().view(np.uint64) for c in batch.columns[1:]]
-            for t, some in enumerate(bits):
+            words = [c.to_numpy().view(np.uint64) for c in batch.columns[2:]]
+            for t, some in bits:
                 key = np.full(batch.num_rows, t, np.int64)
                 for b in some:
                     key = key << 1 | (words[b >> 6] >> np.uint64(b & 63) & _ONE).astype(np.int64)
@@ -573,16 +591,27 @@ def _table_keys(seed: int):
 def near_copy_classes(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, seed: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """(id, node) of each row, and (node, root, component_id) of each distinct set of shingles, for near copies of this similarity.
 
-    Fingerprints propose groups; within each the shingle sets decide, so a link is a Jaccard
+    Fingerprints propose groups, in two rounds of tables: members of a class of the first aren't linked
+    again in the second, where a link joins classes. Within each group the shingle sets decide, so a link is a Jaccard
     similarity of this or more. The sets of groups move once, or once a tile where a group is large.
     """
     w = [f"w{i}" for i in range(WIDE)]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
     prints = cut(texts.select("id", "h", wide_fingerprint(F.col("text"), words_in_shingle, seed).alias("f")).select("id", "h", "f.*"))
     distinct = cut(prints.groupBy("node").agg(F.min("id").alias("least"), F.min(F.struct("h", "id")).alias("one"), *[F.first(c).alias(c) for c in w]))
-    kind = "key long, node long, " + ", ".join(f"{c} long" for c in w)
-    rows = distinct.select("node", *w).mapInArrow(_table_keys(seed), kind)
-    near = cut(components(_dealt(rows, "node").mapInArrow(_stars(bits_of_similarity(similarity, SLACK), wide=True), "u long, v long")))
+    kind = "key long, node long, known long, " + ", ".join(f"{c} long" for c in w)
+
+    def joined_in(rows: DataFrame, tables: range) -> DataFrame:
+        """(known, root) of the known classes of rows (node, known, w0, ...) that these tables join."""
+        buckets = _dealt(rows.mapInArrow(_table_keys(seed, tables), kind), "node")
+        links = buckets.mapInArrow(_stars(bits_of_similarity(similarity, SLACK), wide=True), "u long, v long")
+        return cut(components(links)).withColumnRenamed("node", "known")
+
+    alone = distinct.select("node", F.col("node").alias("known"), *w)
+    first = alone.join(joined_in(alone, range(FIRST)), "known", "left")
+    known = cut(first.select("node", F.coalesce("root", "known").alias("known"), *w))
+    rest = known.join(joined_in(known, range(FIRST, TABLES)), "known", "left")
+    near = cut(rest.select("node", F.coalesce("root", "known").alias("root")).filter("node <> root"))
     groups = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct())
     # One row of each set that has others near: by hash of the text and id, so that null ids are no hot key.
     one = distinct.join(groups, "node").select("node", F.col("root").alias("key"), F.col("one.h").alias("_h"), F.col("one.id").alias("_id"))
