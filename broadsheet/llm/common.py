@@ -17,6 +17,9 @@ from broadsheet.sources.files import shared_folder
 TEXTS_AT_ONCE = 256
 #: Rows of one Arrow batch handed on by a Python stage.
 OUT_ROWS = 8192
+#: Files of a table of few rows, and rows of numbers that one more file is for.
+FEW_FILES = 8
+FILE_ROWS = 8192
 
 
 def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
@@ -41,15 +44,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def files_for(rows: int) -> int:
+    """Files of a table of at most so many rows of numbers."""
+    return max(FEW_FILES, -(-rows // FILE_ROWS))
+
+
+def cut(df: DataFrame, files: int | None = None) -> DataFrame:
     """The same rows read from reliable storage, with lineage cut there.
 
     Later stages neither recompute what stands above nor depend on an executor's disk.
+
+    files: of a small table, so that it isn't as many files as a shuffle has partitions, empty ones too.
+    Without Hadoop's native library an executor runs chmod twice for each file, and until that
+    process has begun it counts with all of the executor's memory.
     """
     spark = df.sparkSession
     root = shared_root(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
+    if files and files < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(files)
     return df.checkpoint(eager=True)
 
 
@@ -92,10 +106,13 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
             yield batch.slice(begin), [x or "" for x in texts.slice(begin).to_pylist()]
 
 
-def of_texts(kind: str, of: Callable[[list[str | None]], pa.Array]) -> Callable[[Column], Column]:
+def of_texts(kind: str, of: Callable[[list[str | None]], pa.Array], once: bool = False) -> Callable[[Column], Column]:
     """A column function from a function of some texts, which gives an array of this kind.
 
     A batch of rows stays in Arrow; only a slice of it is Python strings at a time.
+
+    once: a filter on the column isn't moved below it, which would work the column out for the filter
+    and again for what is kept, each in a worker of its own.
     """
 
     @arrow_udf(kind)
@@ -103,7 +120,7 @@ def of_texts(kind: str, of: Callable[[list[str | None]], pa.Array]) -> Callable[
         parts = [of([x if isinstance(x, str) else None for x in texts.slice(i, TEXTS_AT_ONCE).to_pylist()]) for i in range(0, max(len(texts), 1), TEXTS_AT_ONCE)]
         return pa.concat_arrays(parts)
 
-    return run
+    return run.asNondeterministic() if once else run
 
 
 def structs(**columns: pa.Array) -> pa.StructArray:

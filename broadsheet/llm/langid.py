@@ -163,7 +163,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if len(counts) > MOST_LANGUAGES:
         raise ValueError("too many languages")
     # A hash below this share is enough for the sample, with room to spare; then the exact cut.
-    shares = docs.sparkSession.createDataFrame([(k, min(1.0, 4.0 * sample / n)) for k, n in sorted(counts.items())], "_lang string, share double")
+    # An Arrow table, as a list's rows would go through Python workers of another daemon, which stay in the executors' memory.
+    known = sorted(counts)
+    shares = docs.sparkSession.createDataFrame(pa.table({"_lang": pa.array(known, pa.string()), "share": pa.array([min(1.0, 4.0 * sample / counts[k]) for k in known], pa.float64())}))
     near = rows.withColumn("_h", F.md5(F.col(id_col).cast("string"))).join(F.broadcast(shares), F.col(lang_col) == F.col("_lang"))
     near = near.filter(F.col(text_col).rlike("\\p{L}")).filter(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / float(1 << 32) <= F.col("share"))
     ranked = near.selectExpr(f"`{lang_col}` as lang", f"`{text_col}` as text", "_h")

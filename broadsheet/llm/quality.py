@@ -57,14 +57,14 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 FINE = 64  # steps of a distance's binary logarithm
 
 
-def stats(text: Column) -> Column:
-    """struct of BASE, longs, of a whole text; null counts as empty."""
+def stats(text: Column, once: bool = False) -> Column:
+    """struct of BASE, longs, of a whole text; null counts as empty. once: as in of_texts()."""
 
     def of(texts: list[str | None]) -> pa.Array:
         found = np.array([text_stats(x) for x in texts], np.int64).reshape(-1, len(BASE))
         return structs(**{c: pa.array(found[:, i]) for i, c in enumerate(BASE)})
 
-    return of_texts(", ".join(f"{c} long" for c in BASE), of)(text)
+    return of_texts(", ".join(f"{c} long" for c in BASE), of, once)(text)
 
 
 def base_failed(s: str = "") -> Column:
@@ -264,8 +264,8 @@ def estimates(rows: DataFrame) -> DataFrame:
     return stored(rows, "mcd-estimates", files=FILES)
 
 
-def _labelled(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> tuple[Column, Column, Column]:
-    return docs[lang_col].cast("string"), docs[source_col].cast("string"), stats(docs[text_col])
+def _labelled(docs: DataFrame, lang_col: str, source_col: str, text_col: str, once: bool = False) -> tuple[Column, Column, Column]:
+    return docs[lang_col].cast("string"), docs[source_col].cast("string"), stats(docs[text_col], once)
 
 
 def _verdicts(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     Rows that pass the base limits are written with their statistics, so no text is read twice and
     none is moved; the verdicts need only a small table of estimates.
     """
-    lang, source, s = _labelled(docs, lang_col, source_col, text_col)
+    lang, source, s = _labelled(docs, lang_col, source_col, text_col, once=True)
     rows = wrapped(docs, lang=lang, source=source, s=s).filter(~base_failed("s."))
     rows = stored(rows.select("doc", "lang", "source", F.lit(False).alias("base_failed"), *vector("s.")), "quality-stats", "snappy")
     return _verdicts(rows, estimates(rows)).filter("kept").select("doc.*")

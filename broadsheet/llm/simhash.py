@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import cut, of_texts, stored, structs, wrapped
+from broadsheet.llm.common import FEW_FILES, cut, files_for, of_texts, stored, structs, wrapped
 
 #: Distinct fingerprints of one bucket that one task compares; larger buckets are split in tiles.
 TILE = 1 << 15
@@ -367,7 +367,7 @@ def _dealt(rows: DataFrame, node: str, tile: int | None = None, weight: Column |
     """
     tile = tile or TILE
     sizes = rows.groupBy("key").agg(F.sum(F.lit(1) if weight is None else weight).alias("count"))
-    large = cut(sizes.filter(F.col("count") > tile).select("key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")))
+    large = cut(sizes.filter(F.col("count") > tile).select("key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), FEW_FILES)
     tiled = rows
     if not large.isEmpty():
         both = rows.join(large, "key", "left")
@@ -382,7 +382,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of the links: root is the smallest node of its component.
 
     Large-star and small-star rounds in turn; each halves the paths or better. A hot centre has one
-    row on the side of the minima, so its links are a skewed join, which AQE splits.
+    row on the side of the minima, so its links are a skewed join, which AQE splits. The table is cut
+    already.
     """
 
     def minima(arrows: DataFrame) -> DataFrame:
@@ -402,7 +403,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         down = large.select(F.col("u").alias("a"), F.col("v").alias("b"))
         low = minima(down)
         small = down.join(low, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("a").alias("u"), F.col("m").alias("v")))
-        edges = cut(small.filter("u <> v").distinct())
+        edges = cut(small.filter("u <> v").distinct(), files_for(2 * mark[0]))
         mark, before = seal(edges), mark
         if mark == before:
             break
@@ -418,7 +419,7 @@ def fingerprint_classes(prints: DataFrame, id_col: str, radius: int) -> DataFram
     """
     distinct = cut(prints.groupBy("fp").agg(F.min(id_col).alias("least")))
     links = link_stars(distinct, radius, distinct.count())
-    roots = cut(components(links))
+    roots = components(links)
     linked = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     return linked.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
@@ -598,27 +599,28 @@ def near_copy_classes(docs: DataFrame, id_col: str, text_col: str, words_in_shin
     w = [f"w{i}" for i in range(WIDE)]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
     prints = cut(texts.select("id", "h", wide_fingerprint(F.col("text"), words_in_shingle, seed).alias("f")).select("id", "h", "f.*"))
-    distinct = cut(prints.groupBy("node").agg(F.min("id").alias("least"), F.min(F.struct("h", "id")).alias("one"), *[F.first(c).alias(c) for c in w]))
+    files = files_for(prints.count())
+    distinct = cut(prints.groupBy("node").agg(F.min("id").alias("least"), F.min(F.struct("h", "id")).alias("one"), *[F.first(c).alias(c) for c in w]), files)
     kind = "key long, node long, known long, " + ", ".join(f"{c} long" for c in w)
 
     def joined_in(rows: DataFrame, tables: range) -> DataFrame:
         """(known, root) of the known classes of rows (node, known, w0, ...) that these tables join."""
         buckets = _dealt(rows.mapInArrow(_table_keys(seed, tables), kind), "node")
         links = buckets.mapInArrow(_stars(bits_of_similarity(similarity, SLACK), wide=True), "u long, v long")
-        return cut(components(links)).withColumnRenamed("node", "known")
+        return components(links).withColumnRenamed("node", "known")
 
     alone = distinct.select("node", F.col("node").alias("known"), *w)
     first = alone.join(joined_in(alone, range(FIRST)), "known", "left")
-    known = cut(first.select("node", F.coalesce("root", "known").alias("known"), *w))
+    known = cut(first.select("node", F.coalesce("root", "known").alias("known"), *w), files)
     rest = known.join(joined_in(known, range(FIRST, TABLES)), "known", "left")
-    near = cut(rest.select("node", F.coalesce("root", "known").alias("root")).filter("node <> root"))
+    near = cut(rest.select("node", F.coalesce("root", "known").alias("root")).filter("node <> root"), files)
     groups = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct())
     # One row of each set that has others near: by hash of the text and id, so that null ids are no hot key.
     one = distinct.join(groups, "node").select("node", F.col("root").alias("key"), F.col("one.h").alias("_h"), F.col("one.id").alias("_id"))
     found = texts.join(one, (texts["h"] == one["_h"]) & texts["id"].eqNullSafe(one["_id"]))
     sets = stored(found.select("key", "node", shingle_bytes(F.col("text"), words_in_shingle, seed).alias("shingles")), "shingles")
     links = _dealt(sets, "node", SET_TILE, F.octet_length("shingles") / 8).mapInArrow(_set_stars(similarity), "u long, v long")
-    roots = cut(components(links)).withColumnRenamed("node", "linked")
+    roots = components(links).withColumnRenamed("node", "linked")
     joined = distinct.join(roots, distinct["node"] == roots["linked"], "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.select("id", "node"), joined.select("node", "root").join(least, "root").select("node", "root", "component_id")
@@ -639,11 +641,12 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prints, classes = near_copy_classes(docs, id_col, text_col, words_in_shingle, seed, similarity)
     marked = prints.join(classes, "node")
     own = F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("node")))
-    keepers = cut(marked.groupBy("root", F.col("component_id").alias("_id")).agg(own.alias("_node")).select("_id", "_node"))
+    files = files_for(prints.count())
+    keepers = cut(marked.groupBy("root", F.col("component_id").alias("_id")).agg(own.alias("_node")).select("_id", "_node"), files)
     rows = wrapped(docs, id=F.col(id_col), text=F.col(text_col))
     kept = rows.join(keepers, rows["id"].eqNullSafe(keepers["_id"]), "left_semi")
     # Ids that repeat are settled apart, so that no text is sorted for the others.
-    twice = cut(rows.groupBy(F.col("id").alias("_twice")).count().filter("count > 1").select("_twice"))
+    twice = cut(rows.groupBy(F.col("id").alias("_twice")).count().filter("count > 1").select("_twice"), files)
     if twice.isEmpty():
         return kept.select("doc.*")
     once = kept.join(twice, kept["id"].eqNullSafe(twice["_twice"]), "left_anti")
