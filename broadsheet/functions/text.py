@@ -112,9 +112,13 @@ def lines(text: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Share of the tokens of bag a that set b has; 0 for an empty bag."""
-    hits = F.size(F.filter(a, lambda t: F.array_contains(b, t)))
-    return F.when(F.size(a) > 0, hits / F.greatest(F.size(a), F.lit(1))).otherwise(0.0)
+    """Share of the tokens of bag a that set b has; 0 for an empty bag. Both are worked out once, not for each token."""
+
+    def share(s: Column) -> Column:
+        hits = F.size(F.filter(s["a"], lambda t: F.array_contains(s["b"], t)))
+        return F.when(F.size(s["a"]) > 0, hits / F.greatest(F.size(s["a"]), F.lit(1))).otherwise(0.0)
+
+    return once(F.struct(a.alias("a"), F.array_distinct(b).alias("b")), share)
 
 
 def spaced_letters(text: Column) -> Column:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from broadsheet.functions import text as X
 from broadsheet.functions import vocabulary as V
@@ -31,6 +32,7 @@ def fold(rows: DataFrame, group: Sequence[str], order: Sequence[str], start: Cal
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = rows.repartition(parts, *group).sortWithinPartitions(*group, *order)
     schema = T.StructType([*[sorted_.schema[c] for c in kept], out])
+    kind = to_arrow_type(out.dataType)
     names, keys, values = rows.columns, list(group), list(read)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,8 +45,7 @@ def fold(rows: DataFrame, group: Sequence[str], order: Sequence[str], start: Cal
                 if step is None or key != last:
                     last, step = key, start()
                 found.append(step(*value))
-            arrow = pa.array(found, {"string": pa.string(), "bigint": pa.int64()}[out.dataType.simpleString()])
-            yield pa.record_batch([*[column[c] for c in kept], arrow], names=[*kept, out.name])
+            yield pa.record_batch([*[column[c] for c in kept], pa.array(found, kind)], names=[*kept, out.name])
 
     return sorted_.mapInArrow(run, schema)
 
@@ -88,6 +89,33 @@ def joined_pieces(order: Sequence[str]) -> Column:
     return F.array_join(F.transform(pieces, lambda p: p["piece"]), "")
 
 
+def overlaps_before(rows: DataFrame, group: Sequence[str], order: Sequence[str], body: str = "body") -> DataFrame:
+    """rows without body, with overlap: the share of a body's tokens that the row before it in the group has; null where that has no body.
+
+    A body is cut into tokens once, and not at all where it is alone in its group. A group's state is the
+    last row's text or tokens, so a row costs its own length, whatever stands before it.
+    """
+    lowered = rows.withColumn("_lower", F.lower(body))
+
+    def start() -> Callable:
+        text_before: str | None = None
+        before: set[str] | None = None
+
+        def step(text: str | None) -> float | None:
+            nonlocal text_before, before
+            if text_before is None:
+                text_before, before = text, None
+                return None
+            found = _TOKEN.findall(text or "")
+            known = set(_TOKEN.findall(text_before)) if before is None else before
+            text_before, before = text, set(found)
+            return sum(t in known for t in found) / len(found) if found else 0.0
+
+        return step
+
+    return fold(lowered.drop(body), group, order, start, ["_lower"], T.StructField("overlap", T.DoubleType()), unread=["_lower"])
+
+
 def continuation_targets(articles: DataFrame, look_back: int = V.FUZZY_LOOK_BACK, similarity: float = V.FUZZY_TITLE) -> DataFrame:
     """articles with target: the ordinal of the article that a row continues, its own where it continues none.
 

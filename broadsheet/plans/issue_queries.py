@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
 from broadsheet.operators import articles as A
-from broadsheet.operators import fuzzy, glossary, issues, linking
+from broadsheet.operators import folds, fuzzy, glossary, issues, linking
 from broadsheet.plans.registry import Registry, table
 from broadsheet.plans.text_queries import ARTICLES, KEY, articles
 from broadsheet.sources import exports
@@ -38,8 +38,8 @@ def cross_page_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT ordinal AS doc_id, round(CASE WHEN len({TOKENS.format("body")}) = 0 THEN 0.0 ELSE len(list_filter({TOKENS.format("body")}, lambda t: list_contains({TOKENS.format("before")}, t))) / len({TOKENS.format("body")}) END, 4) AS overlap FROM l WHERE before IS NOT NULL""")
 def fragment_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = articles(spark, sf_dir).withColumn("key", X.label_key(F.col("title"))).filter("key <> ''")
-    rows = rows.withColumn("before", F.lag("body").over(Window.partitionBy("issue", "key").orderBy("ordinal"))).filter("before is not null")
-    return rows.select(F.col("ordinal").alias("doc_id"), F.round(X.containment(X.tokens(F.col("body")), F.array_distinct(X.tokens(F.col("before")))), 4).alias("overlap"))
+    found = folds.overlaps_before(rows.select("issue", "key", "ordinal", "body"), ["issue", "key"], ["ordinal"])
+    return found.filter("overlap is not null").select(F.col("ordinal").alias("doc_id"), F.round("overlap", 4).alias("overlap"))
 
 
 @register(rf"""WITH {ARTICLES}, i AS (SELECT *, CASE WHEN ordinal % 3 = 0 THEN '' ELSE 'img' || ordinal % 5 END AS img FROM a),
