@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from broadsheet.functions import text as X
 from broadsheet.functions import vocabulary as V
+from broadsheet.operators.likeness import Title, ratio_bounds
 
 _TOKEN = re.compile("[a-z0-9]+")
 
@@ -135,24 +136,29 @@ def continuation_targets(articles: DataFrame, look_back: int = V.FUZZY_LOOK_BACK
 
     def start() -> Callable:
         kept: list[tuple[str, object, int]] = []
+        titles: dict[int, Title] = {}
         pages: dict[str, list[int]] = {}
 
         def alike(key: str) -> int | None:
-            words, best = set(key.split()), None
-            for i in range(max(0, len(kept) - look_back), len(kept)):
+            words, best = frozenset(key.split()), None
+            near = range(max(0, len(kept) - look_back), len(kept))
+            for i in near:
                 other = kept[i][0]
                 if not other:
                     continue
                 if other == key:
                     return i
-                own = set(other.split())
-                shared = len(words & own) / max(min(len(words), len(own)), 1)
-                matcher = SequenceMatcher(None, key, other)
-                if shared < similarity and matcher.real_quick_ratio() < similarity:
+                if i not in titles:
+                    titles[i] = Title(other)
+                shared = titles[i].shared(words)
+                longest = 2 * min(len(key), len(other)) / (len(key) + len(other))
+                if shared < similarity and (longest < similarity or ratio_bounds(key, [titles[i]])[0] < similarity):
                     continue
-                score = max(matcher.ratio(), shared)
+                score = max(titles[i].ratio(key), shared)
                 if score >= similarity and (best is None or score > best[0]):
                     best = (score, i)
+            for i in [i for i in titles if i not in near]:
+                del titles[i]
             return best and best[1]
 
         def step(page, ordinal: int, own: str, base: str, marked: int) -> int:

@@ -1,44 +1,58 @@
-"""Operators that need Python: ratios of matching blocks, word segmentation, tolerant JSON. Arrow-batched."""
+"""Operators that need Python: likest titles, word segmentation, tolerant JSON. Arrow-batched."""
 
 from __future__ import annotations
 
 import json
 import re
-from difflib import SequenceMatcher
+from collections import deque
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from broadsheet.functions import text as X
 from broadsheet.functions import vocabulary as V
+from broadsheet.operators import folds
+from broadsheet.operators.likeness import Title, likest
 
 
-def match_ratio(a: Column, b: Column) -> Column:
-    """Ratcliff-Obershelp ratio of two strings."""
-
-    @pandas_udf("double")
-    def of(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, p or "", q or "").ratio() for p, q in zip(x, y, strict=True)], dtype=float)
-
-    return of(a, b)
+#: Rows of an issue that are compared in one place.
+RUN = 256
 
 
 def fuzzy_continuations(articles: DataFrame, look_back: int = V.FUZZY_LOOK_BACK, least: float = V.FUZZY_TITLE) -> DataFrame:
     """(issue, ordinal, target, score): each article's likest title among the look_back before it, by blocks or by words.
 
-    The window holds the earlier titles, so an issue of n articles makes at most look_back * n pairs.
+    An issue's titles are numbered in order and dealt out in runs, each with the last look_back
+    titles before it; a run is a stream that holds look_back titles. So an issue of n articles makes at most
+    look_back * n pairs, however few issues there are. Only the numbering sees an issue as a whole.
     """
-    by = Window.partitionBy("issue").orderBy("ordinal").rowsBetween(-look_back, -1)
+    rows = max(RUN, look_back)
     keyed = articles.select("issue", "ordinal", X.label_key("title").alias("key")).filter("key <> ''")
-    pairs = keyed.withColumn("earlier", F.collect_list(F.struct("ordinal", "key")).over(by)).select("issue", "ordinal", "key", F.explode("earlier").alias("e"))
-    own, other = F.array_distinct(F.split("key", " ")), F.array_distinct(F.split("e.key", " "))
-    overlap = F.size(F.array_intersect(own, other)) / F.greatest(F.least(F.size(own), F.size(other)), F.lit(1))
-    # A ratio of r needs lengths no further apart than this: most pairs end here, in the JVM.
-    near = 2 * F.least(F.length("key"), F.length("e.key")) >= least * (F.length("key") + F.length("e.key"))
-    some = pairs.filter(near | (overlap >= least)).withColumn("score", F.round(F.greatest(match_ratio(F.col("key"), F.col("e.key")), overlap), 4))
-    best = some.filter(F.col("score") >= least).groupBy("issue", "ordinal").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("e.ordinal").alias("target"))).alias("m"))
+    numbered = keyed.withColumn("n", F.row_number().over(Window.partitionBy("issue").orderBy("ordinal")) - 1).withColumn("home", F.expr(f"n div {rows}"))
+    late = F.col("n") % rows >= rows - look_back
+    dealt = numbered.withColumn("run", F.explode(F.when(late, F.array(F.col("home"), F.col("home") + 1)).otherwise(F.array("home"))))
+    dealt = dealt.select("issue", "run", "n", "ordinal", "key", (F.col("run") == F.col("home")).alias("own"))
+    kind = dealt.schema["ordinal"].dataType
+
+    def start() -> Callable:
+        before: deque[tuple[object, Title]] = deque(maxlen=look_back)
+
+        def step(ordinal, key: str, own: bool) -> list[dict] | None:
+            found = likest(key, [t for _, t in before], least) if own else ()
+            out = [{"target": before[i][0], "score": score} for i, score in found]
+            before.append((ordinal, Title(key)))
+            return out or None
+
+        return step
+
+    found = T.StructField("found", T.ArrayType(T.StructType([T.StructField("target", kind), T.StructField("score", T.DoubleType())])))
+    some = folds.fold(dealt, ["issue", "run"], ["n"], start, ["ordinal", "key", "own"], found, unread=["n", "key", "own"])
+    scored = some.select("issue", "ordinal", F.explode("found").alias("e")).select("issue", "ordinal", "e.target", F.round("e.score", 4).alias("score"))
+    best = scored.filter(F.col("score") >= least).groupBy("issue", "ordinal").agg(F.min(F.struct((-F.col("score")).alias("s"), "target")).alias("m"))
     return best.select("issue", "ordinal", "m.target", (-F.col("m.s")).alias("score"))
 
 

@@ -2,11 +2,13 @@
 
 import random
 import time
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
-from broadsheet.operators import folds
+from broadsheet.operators import folds, fuzzy
+from broadsheet.operators.likeness import Title, common_lengths, likest
 from tests.conftest import values
 
 
@@ -30,3 +32,69 @@ def test_containment_of_bags(spark):
     text = " ".join(f"w{i % 3000}" for i in range(6000))
     df = spark.createDataFrame([(text, text + " x"), ("", "a"), ("a a b", "a")], "a string, b string")
     assert values(df.select(F.round(X.containment(X.tokens(F.col("a")), X.tokens(F.col("b"))), 4))) == [(1.0,), (0.0,), (0.6667,)]
+
+
+PARTS = ["the", "and", "ati", "on", "onha", "e", "re", "ing"]
+
+
+def titles(rng, n, longest=25):
+    """Titles of which some are altered copies of an earlier one."""
+    out = []
+    for _ in range(n):
+        if out and rng.random() < 0.3:
+            t = list(rng.choice(out[-30:]))
+            for _ in range(int(len(t) * rng.random() * 0.4)):
+                t[rng.randrange(len(t))] = rng.choice("abc de")
+            out.append(" ".join("".join(t).split()) or "a")
+        else:
+            out.append(" ".join("".join(rng.choices(PARTS, k=rng.randint(1, 3))) for _ in range(rng.randint(1, longest))))
+    return out
+
+
+def score(a, b):
+    x, y = set(a.split()), set(b.split())
+    return round(max(SequenceMatcher(None, a, b).ratio(), len(x & y) / min(len(x), len(y))), 4)
+
+
+def test_common_subsequences_side_by_side():
+    rng = random.Random(2)
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+            row = new
+        return row[-1]
+
+    names = [*titles(rng, 12), "", "a"]
+    for key in [*titles(rng, 6), "a", "zz"]:
+        assert common_lengths(key, [Title(t) for t in names]) == [plain(key, t) for t in names]
+
+
+def test_bound_spares_most_ratios(monkeypatch):
+    rng = random.Random(3)
+    made = []
+    ratio = Title.ratio
+    monkeypatch.setattr(Title, "ratio", lambda self, key: made.append(key) or ratio(self, key))
+    names = [" ".join("".join(rng.choices("etaoinshrdlu", k=5)) for _ in range(20)) for _ in range(60)]
+    for at in range(20, 60):
+        assert likest(names[at], [Title(t) for t in names[at - 20 : at]], 0.72) == []
+    # Of 800 pairs of like length, each of which had its ratio worked out before.
+    assert len(made) < 8
+
+
+def test_fuzzy_continuations_across_runs(spark):
+    rng = random.Random(4)
+    rows = [("one", 3 * n, t) for n, t in enumerate(titles(rng, 600))] + [("two", n, t) for n, t in enumerate(titles(rng, 30, 60))] + [("two", 100, "?"), (None, 1, "a title here"), (None, 2, "a title here")]
+    df = spark.createDataFrame(rows, "issue string, ordinal long, title string").repartition(3)
+    expected = {}
+    for issue in ("one", "two", None):
+        seen = [(n, t) for i, n, t in sorted(rows, key=lambda r: r[1]) if i == issue and t != "?"]
+        for at, (n, t) in enumerate(seen):
+            found = [(-score(t, o), m) for m, o in seen[max(0, at - 20) : at]]
+            if found and min(found)[0] <= -0.72:
+                expected[issue, n] = (min(found)[1], -min(found)[0])
+    assert {(r["issue"], r["ordinal"]): (r["target"], r["score"]) for r in fuzzy.fuzzy_continuations(df).collect()} == expected
+    assert any(issue == "one" and n // 3 % 256 < 20 and n >= 768 for issue, n in expected)
