@@ -96,10 +96,17 @@ def link_tokens(text: Column) -> Column:
     return F.array_distinct(F.transform(found, singular))
 
 
+SUMMARY_TOKEN = "[a-z0-9]+(?:[\\x27-][a-z0-9]+)?"
+
+
+def summary_text(text: Column) -> Column:
+    """Lower case, without page labels such as A12."""
+    return F.lower(F.regexp_replace(text, "(?i)(?<![A-Z0-9])[A-Z][0-9]{1,3}(?![A-Z0-9])", " "))
+
+
 def summary_tokens(text: Column) -> Column:
-    """Tokens without page labels such as A12; a bag, repeats kept."""
-    bare = F.regexp_replace(text, "(?i)(?<![A-Z0-9])[A-Z][0-9]{1,3}(?![A-Z0-9])", " ")
-    return F.regexp_extract_all(F.lower(bare), F.lit("[a-z0-9]+(?:[\\x27-][a-z0-9]+)?"), F.lit(0))
+    """Tokens without page labels; a bag, repeats kept."""
+    return F.regexp_extract_all(summary_text(text), F.lit(SUMMARY_TOKEN), F.lit(0))
 
 
 def paragraphs(text: Column) -> Column:

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,13 +71,73 @@ def unique_directory_links(items: DataFrame, articles: DataFrame) -> DataFrame:
     return wanted.groupBy("issue").cogroup(tokens.groupBy("issue")).applyInPandas(solve, f"issue {kind}, item_id long, ordinal long")
 
 
+#: Rows of (item, token, count) up to which a directory goes to each task whole; four times as many tokens.
+DIRECTORY_ROWS = 500_000
+
+
 def outside_directory(articles: DataFrame, items: DataFrame, coverage: float = V.DIRECTORY_COVERAGE, item_share: float = V.DIRECTORY_ITEM, least: int = V.DIRECTORY_TOKENS) -> DataFrame:
     """Articles without those that mostly repeat the directory: bag coverage of the text and of its best item.
 
-    articles: ordinal, body; items: item_id, text. All work is joins on tokens and sums of the lesser count.
+    articles: ordinal, body; items: item_id, text. The directory goes to the tasks as an index of its
+    tokens, so an article is decided where it is read: a task holds one article's counts, and of the articles only
+    ordinals move. A directory beyond DIRECTORY_ROWS, or rows that share an ordinal and count as one
+    text, go by joins on tokens and sums of the lesser count. Directory and ordinals are looked at when the plan is made.
     """
     item_bags = items.select("item_id", X.summary_tokens(F.col("text")).alias("t")).filter(F.size("t") >= least)
     item_counts = item_bags.select("item_id", F.size("t").alias("item_n"), F.explode("t").alias("token")).groupBy("item_id", "item_n", "token").agg(F.count(F.lit(1)).alias("c"))
+    index = _directory_index(item_counts.limit(DIRECTORY_ROWS + 1).toArrow(), item_share)
+    if index is None or not articles.groupBy("ordinal").count().filter("count > 1").isEmpty():
+        drop = _in_directory_by_joins(articles, item_counts, coverage, item_share, least)
+    else:
+        drop = _in_directory(articles, index, coverage, least)
+    return articles.join(drop.distinct(), "ordinal", "left_anti")
+
+
+def _directory_index(counts: pa.Table, item_share: float) -> tuple[dict, list[int]] | None:
+    """({token: (copies in the directory, [items with a first copy, items with a second, ...])}, copies that each item needs); None if that is too large."""
+    rows = counts.to_pydict()
+    if counts.num_rows > DIRECTORY_ROWS or sum(rows["c"]) > 4 * DIRECTORY_ROWS:
+        return None
+    numbers: dict[tuple, int] = {}
+    index: dict[str, tuple[int, list[list[int]]]] = {}
+    for item, n, token, c in zip(rows["item_id"], rows["item_n"], rows["token"], rows["c"], strict=True):
+        number = numbers.setdefault((item, n), len(numbers))
+        copies, having = index.get(token, (0, []))
+        having.extend([] for _ in range(c - len(having)))
+        for k in range(c):
+            having[k].append(number)
+        index[token] = copies + c, having
+    # The same quotient as in a join, so the same rounding.
+    return index, [next((h for h in range(n + 1) if h / n >= item_share), n + 1) for _, n in numbers]
+
+
+def _in_directory(articles: DataFrame, index: tuple[dict, list[int]], coverage: float, least: int) -> DataFrame:
+    shared = articles.sparkSession.sparkContext.broadcast(index)
+    token = re.compile(X.SUMMARY_TOKEN)
+
+    def repeats(text: str | None) -> bool:
+        found = token.findall(text or "")
+        if len(found) < max(least, 1):
+            return False
+        index, needed = shared.value
+        own = [(c, index[t]) for t, c in Counter(found).items() if t in index]
+        # An item's n-th copy of a token is met by the article's n-th.
+        if not sum(min(c, copies) for c, (copies, _) in own) / len(found) >= coverage:
+            return False
+        hits = Counter(chain.from_iterable(chain.from_iterable(having[:c] for c, (_, having) in own)))
+        return any(h >= needed[item] for item, h in hits.items())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield pa.record_batch([part.column(0).filter(pa.array([repeats(t.as_py()) for t in part.column(1)], pa.bool_()))], names=["ordinal"])
+
+    texts = articles.select("ordinal", X.summary_text(F.col("body")).alias("text"))
+    return texts.mapInArrow(run, texts.select("ordinal").schema)
+
+
+def _in_directory_by_joins(articles: DataFrame, item_counts: DataFrame, coverage: float, item_share: float, least: int) -> DataFrame:
     directory = item_counts.groupBy("token").agg(F.sum("c").alias("c_dir"))
     bags = articles.select("ordinal", X.summary_tokens(F.col("body")).alias("t")).filter(F.size("t") >= least)
     # Tokens that no item has go before anything is counted or moved.
@@ -80,8 +146,7 @@ def outside_directory(articles: DataFrame, items: DataFrame, coverage: float = V
     covered = counts.join(directory, "token").groupBy("ordinal", "n").agg(F.sum(F.least("c_own", "c_dir")).alias("hit")).filter(F.col("hit") / F.col("n") >= coverage)
     # Only articles that the directory covers are compared with its items.
     shared = counts.join(covered.select("ordinal"), "ordinal", "left_semi").join(item_counts, "token").groupBy("ordinal", "item_id", "item_n").agg(F.sum(F.least("c_own", "c")).alias("hit"))
-    drop = shared.filter(F.col("hit") / F.col("item_n") >= item_share).select("ordinal").distinct()
-    return articles.join(drop, "ordinal", "left_anti")
+    return shared.filter(F.col("hit") / F.col("item_n") >= item_share).select("ordinal")
 
 
 def without_module_lines(lines: DataFrame, module: DataFrame) -> DataFrame:

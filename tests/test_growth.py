@@ -1,13 +1,15 @@
 """Queries whose work once grew faster than their input: the same results as plain code, at sizes the old plans took minutes for."""
 
 import random
+import re
 import time
+from collections import Counter
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
-from broadsheet.operators import folds, fuzzy
+from broadsheet.operators import folds, fuzzy, linking
 from broadsheet.operators.likeness import Title, common_lengths, likest
 from tests.conftest import values
 
@@ -98,3 +100,35 @@ def test_fuzzy_continuations_across_runs(spark):
                 expected[issue, n] = (min(found)[1], -min(found)[0])
     assert {(r["issue"], r["ordinal"]): (r["target"], r["score"]) for r in fuzzy.fuzzy_continuations(df).collect()} == expected
     assert any(issue == "one" and n // 3 % 256 < 20 and n >= 768 for issue, n in expected)
+
+
+def test_outside_directory_in_both_ways(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{c}" for c in "abcdefghijkl"] + ["it's", "co-op", "I", "B7"]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    items = [(n, text(rng.randint(2, 12))) for n in range(30)] + [(1, "wa wa wa wa wb"), (98, None), (99, "")]
+    rows = [(n, text(rng.randint(1, 40)) + " other" * rng.randint(0, 60)) for n in range(300)]
+    rows += [(1000, None), (1001, ""), (1002, "wa WA A12 wa A123 wa wb"), (1003, "wa wb x y z q r s")]
+    bag = lambda t: Counter(re.findall("[a-z0-9]+(?:['-][a-z0-9]+)?", re.sub("(?i)(?<![A-Z0-9])[A-Z][0-9]{1,3}(?![A-Z0-9])", " ", t or "").lower()))
+    bags = [b for _, t in items if (b := bag(t)).total() >= 4]
+    directory = sum(bags, Counter())
+    dropped = {n for n, t in rows if (b := bag(t)).total() >= 4 and (b & directory).total() / b.total() >= 0.3 and any((b & i).total() / i.total() >= 0.6 for i in bags)}
+    articles, listed = spark.createDataFrame(rows, "ordinal long, body string"), spark.createDataFrame(items, "item_id long, text string")
+    found = linking.outside_directory(articles, listed, coverage=0.3)
+    assert 50 < len(dropped) < 250
+    assert [n for (n,) in values(found.select("ordinal"), "ordinal")] == sorted({n for n, _ in rows} - dropped)
+    # Tokens of articles are neither joined nor moved: no task holds more than an article's counts.
+    assert "token" not in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(linking, "DIRECTORY_ROWS", 10)
+    by_joins = linking.outside_directory(articles, listed, coverage=0.3)
+    assert "token" in by_joins._jdf.queryExecution().executedPlan().toString()
+    assert values(by_joins, "ordinal") == values(found, "ordinal")
+
+
+def test_outside_directory_of_repeated_ordinals(spark):
+    listed = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
+    # Both rows of an ordinal have as many tokens, so they count as one text: 5 of 20, not 10 of 20.
+    part = "a b c d e" + " x" * 11
+    articles = spark.createDataFrame([(1, part), (1, part), (2, part), (3, "a b c x")], "ordinal long, body string")
+    found = linking.outside_directory(articles, listed, coverage=0.5)
+    assert values(found.select("ordinal"), "ordinal") == [(1,), (1,), (2,)]
